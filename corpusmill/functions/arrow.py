@@ -5,16 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-import corpusmill
-
-# The package's functions travel to the executors by value: they need no copy of it there.
-cloudpickle.register_pickle_by_value(corpusmill)
-
 
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
     """Map every Arrow batch of ``df`` with the function that ``make`` returns once a task.
