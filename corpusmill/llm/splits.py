@@ -2,9 +2,11 @@
 
 An exact prefix-filter join: every text is a set of word shingles in one global order from
 rare to common. Two sets of Jaccard similarity t or more must share a shingle among their
-first ``n - ceil(t n) + 1``, so only these prefixes are joined, evaluation against
-training. Length and position filters drop what can't reach t, and the survivors are
-aligned word by word, passage against passage and question against question.
+first ``n - ceil(t n) + 1``, and one more of them for
+every further shingle of the prefix; the prefixes are taken three longer, joined,
+evaluation against training, and pairs with fewer than four shared shingles dropped.
+Length and position filters drop what can't reach t, and the survivors are aligned word
+by word, passage against passage and question against question.
 
 The order needs only to be the same everywhere: rarity is read from a table of hashed
 counts of fixed size, filled from all texts. Copies are joined once, as a class, and
@@ -27,7 +29,9 @@ from corpusmill.functions.arrow import map_arrow
 from corpusmill.session import checkpointed
 
 SHINGLE = 3
-SIMILARITY = 0.6
+SIMILARITY = 0.65
+SHARED = 4
+BROADCAST_IDS = 3_000_000
 COUNT_BITS = 18
 BLOCK = 4096
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
@@ -109,7 +113,7 @@ def prefixes(texts: DataFrame, counts: np.ndarray, similarity: float) -> DataFra
                 n = len(h)
                 if not n:
                     continue
-                first = n - int(np.ceil(similarity * n - 1e-9)) + 1
+                first = min(n, n - int(np.ceil(similarity * n - 1e-9)) + SHARED)
                 order = np.lexsort((h, shared.value[(h & mask).astype(np.int64)]))[:first]
                 hashes.append(h[order].view(np.int64))
                 ids.append(np.full(first, i, np.int64))
@@ -132,8 +136,9 @@ def candidates(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     right = rows.filter("held").select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
     least = F.ceil((F.col("na") + F.col("nb")) * (similarity / (1 + similarity)) - 1e-6)
     lengths = (F.col("na") >= F.col("nb") * similarity - 1e-6) & (F.col("nb") >= F.col("na") * similarity - 1e-6)
-    position = 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1 >= least
-    return left.join(right, "h").filter(lengths & position).select("a", "b").distinct()
+    before, after = F.least("pa", "pb"), F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    met = left.join(right, "h").filter(lengths & (before + after >= least))
+    return met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max(least).alias("least")).filter(F.col("shared") >= F.least("least", F.lit(SHARED))).select("a", "b")
 
 
 def close(a: str, b: str) -> bool:
@@ -199,6 +204,12 @@ def parts(user: str) -> tuple[list[str], list[str]]:
     return passage, pieces[-1]
 
 
+def of_ids(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """``rows`` with ('left_semi') or without ('left_anti') the ids; these are broadcast up to a checked number."""
+    ids = checkpointed(ids)
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", how)
+
+
 def overlaps(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``row_a``, ``row_b`` of every overlap of a training and a held-out row.
 
@@ -213,10 +224,12 @@ def overlaps(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     keyed = usable.withColumn("cls", F.md5(F.regexp_replace(plain, r"\s*\n\s*\n\s*", "¶")))
     members = checkpointed(keyed.select("id", "held", F.unhex("cls").alias("cls")))
     heads = members.groupBy("held", "cls").agg(F.min("id").alias("head"))
-    of = members.join(heads, ["held", "cls"]).select("id", "head")
-    texts = checkpointed(usable.join(heads.select(F.col("head").alias("id")), "id", "left_semi").select("id", "held", "text"))
-    pairs = candidates(texts, similarity)
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    of = checkpointed(members.join(heads, ["held", "cls"]).select("id", "head"))
+    texts = of_ids(usable.select("id", "held", "text"), of.filter("id <> head").select("id"), "left_anti")
+    pairs = checkpointed(candidates(texts, similarity))
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = of_ids(usable.select("id", "text"), needed, "left_semi")
+    both = pairs.join(wanted.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(wanted.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def work(batch: pa.RecordBatch) -> dict:
