@@ -31,7 +31,7 @@ DECIMALS = 3
 
 # Frequent function words by language; "of" and its like also stand in list entries and don't tell sentences.
 COMMON = {
-    "en": "the and a an in to is was that it for on with as by at from this be are or which not each its under after during before most also their has have had but he she they his her were been than when where while because although",
+    "en": "the and a an in to is was that it for on with as by at from this be are or which not each its under after during before most also their has have had but he she they his her were been than when where while because although some later already however thus such there then into",
     "de": "der die das und den dem ein eine einer einem nicht mit zu im am auf für ist wegen nach über ohne trotz dass sich auch wurde",
     "fr": "le la les du un une dans pour par sur ne pas est au aux que qui malgré après sans lors il elle ce cette",
     "es": "el la los las del un una en para por con no es al que se sin tras durante lo su",
