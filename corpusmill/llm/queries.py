@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import pairs, repetition, spam, splits, standing, tokens
+from corpusmill.llm import leaks, pairs, quality, repetition, spam, splits, standing, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": repetition.p1_found,
@@ -14,8 +14,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_line_frequency": repetition.p1_line_frequency,
     "p2_found": standing.p2_found,
     "p2_cleaned": standing.p2_cleaned,
+    "p3_found": leaks.p3_found,
+    "p3_matches": leaks.p3_matches,
     "p5_found": splits.p5_found,
     "p5_report": splits.p5_report,
+    "p6_found": quality.p6_found,
+    "p6_statistics": quality.p6_statistics,
     "p7_found": pairs.p7_found,
     "p8_ids": tokens.p8_ids,
     "p10_found": spam.p10_found,

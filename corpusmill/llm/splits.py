@@ -9,8 +9,9 @@ Length and position filters drop what can't reach t, and the survivors are align
 by word, passage against passage and question against question.
 
 The order needs only to be the same everywhere: rarity is read from a table of hashed
-counts of fixed size, filled from all texts. Copies are joined once, as a class, and
-expanded at the end.
+counts of fixed size, filled from all evaluation texts; a training shingle whose place in
+it is empty stands in none of them and isn't joined. Copies are joined once, as a class,
+and expanded at the end.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ SHINGLE = 3
 SIMILARITY = 0.65
 SHARED = 4
 BROADCAST_IDS = 3_000_000
-COUNT_BITS = 18
-BLOCK = 4096
+COUNT_BITS = 21
+BLOCK = 1 << 14
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -66,7 +67,7 @@ class Shingler:
 
 
 def hashed_counts(texts: DataFrame, column: str) -> np.ndarray:
-    """How many texts hold a shingle of each hash class: 2**COUNT_BITS counts, from all texts.
+    """How many texts hold shingles of each hash class: 2**COUNT_BITS counts, from all rows of ``texts``.
 
     Each task fills its own table and ships it in blocks, which are added up before the
     driver gets the one table, whose size is fixed.
@@ -77,7 +78,7 @@ def hashed_counts(texts: DataFrame, column: str) -> np.ndarray:
         table, shingler = np.zeros(slots, np.int64), Shingler()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                np.add.at(table, (shingler.of(text) & np.uint64(slots - 1)).astype(np.int64), 1)
+                table[(shingler.of(text) & np.uint64(slots - 1)).astype(np.int64)] += 1
         used = np.flatnonzero(table.reshape(-1, BLOCK).any(axis=1))
         data = [table[b * BLOCK : (b + 1) * BLOCK].tobytes() for b in used]
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(data, pa.binary())], ["block", "data"])
@@ -114,12 +115,14 @@ def prefixes(texts: DataFrame, counts: np.ndarray, similarity: float) -> DataFra
                 if not n:
                     continue
                 first = min(n, n - int(np.ceil(similarity * n - 1e-9)) + SHARED)
-                order = np.lexsort((h, shared.value[(h & mask).astype(np.int64)]))[:first]
-                hashes.append(h[order].view(np.int64))
-                ids.append(np.full(first, i, np.int64))
-                held.append(np.full(first, s, bool))
-                sizes.append(np.full(first, n, np.int32))
-                places.append(np.arange(first, dtype=np.int32))
+                often = shared.value[(h & mask).astype(np.int64)]
+                order = np.argsort(often, kind="stable")[:first]  # of sorted hashes: ties in the order of hashes
+                used = np.flatnonzero(often[order])
+                hashes.append(h[order[used]].view(np.int64))
+                ids.append(np.full(len(used), i, np.int64))
+                held.append(np.full(len(used), s, bool))
+                sizes.append(np.full(len(used), n, np.int32))
+                places.append(used.astype(np.int32))
             cat = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
             return {"id": pa.array(cat(ids, np.int64)), "held": pa.array(cat(held, bool)), "n": pa.array(cat(sizes, np.int32)), "pos": pa.array(cat(places, np.int32)), "h": pa.array(cat(hashes, np.int64))}
 
@@ -130,7 +133,7 @@ def prefixes(texts: DataFrame, counts: np.ndarray, similarity: float) -> DataFra
 
 def candidates(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs (``a`` of training, ``b`` held out) that the prefix, length and position filters leave."""
-    counts = hashed_counts(texts, "text")
+    counts = hashed_counts(texts.filter("held"), "text")
     rows = prefixes(texts, counts, similarity)
     left = rows.filter("not held").select("h", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
     right = rows.filter("held").select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
@@ -215,13 +218,11 @@ def overlaps(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     ``rows`` has row_id, split and user. Rows with a null split, a null text or no word
     are never part of an overlap; 'train' is the training split, every other one is held
-    out. Texts that are the same but for case, spacing and punctuation form a class that
-    is joined once; the rows of matched classes are paired at the end, since the result
+    out. Equal texts form a class that is joined once; the rows of matched classes are paired at the end, since the result
     is one of pairs.
     """
     usable = rows.filter("split is not null and user is not null").select(F.col("row_id").alias("id"), F.col("split"), (F.col("split") != "train").alias("held"), F.col("user").alias("text"))
-    plain = F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}'’\n]+|(?<!\n)\n(?!\s*\n)", " "))
-    keyed = usable.withColumn("cls", F.md5(F.regexp_replace(plain, r"\s*\n\s*\n\s*", "¶")))
+    keyed = usable.withColumn("cls", F.md5("text"))
     members = checkpointed(keyed.select("id", "held", F.unhex("cls").alias("cls")))
     heads = members.groupBy("held", "cls").agg(F.min("id").alias("head"))
     of = checkpointed(members.join(heads, ["held", "cls"]).select("id", "head"))
