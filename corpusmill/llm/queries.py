@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import leaks, pairs, quality, repetition, spam, splits, standing, tokens
+from corpusmill.llm import leaks, pairs, quality, repetition, scans, spam, splits, standing, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": repetition.p1_found,
@@ -16,6 +16,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_cleaned": standing.p2_cleaned,
     "p3_found": leaks.p3_found,
     "p3_matches": leaks.p3_matches,
+    "p4_found": scans.p4_found,
+    "p4_repaired": scans.p4_repaired,
     "p5_found": splits.p5_found,
     "p5_report": splits.p5_report,
     "p6_found": quality.p6_found,
