@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import leaks, pairs, quality, repetition, scans, spam, splits, standing, tokens
+from corpusmill.llm import leaks, mixing, pairs, quality, repetition, scans, spam, splits, standing, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": repetition.p1_found,
@@ -24,6 +24,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_statistics": quality.p6_statistics,
     "p7_found": pairs.p7_found,
     "p8_ids": tokens.p8_ids,
+    "p9_mix": mixing.p9_mix,
+    "p9_shares": mixing.p9_shares,
     "p10_found": spam.p10_found,
     "p10_pages": spam.p10_pages,
 }
