@@ -38,7 +38,7 @@ FUNCTION_WORDS = {
     "it": "il lo la gli le di del della e un una in per con non è al che si senza dopo nella alla",
 }
 LANGUAGE_OF = {lang: frozenset(words.split()) for lang, words in FUNCTION_WORDS.items()}
-ALL_FUNCTION_WORDS = frozenset().union(*LANGUAGE_OF.values())
+LANGUAGES_OF_WORD = {w: tuple(lang for lang, own in LANGUAGE_OF.items() if w in own) for w in frozenset().union(*LANGUAGE_OF.values())}
 
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 SEGMENT = re.compile(r"(?:[^.!?。！？…\n]|[.!?…](?=\w)|\n(?=[a-zß-ÿ]))+[.!?。！？…]*[\"'”’»)\]]*|[.!?。！？…]+")
@@ -50,19 +50,26 @@ ENDED = re.compile(r"[.!?。！？…][\"'”’»)\]]*$")
 
 
 def language(words: list[str]) -> str:
-    """The language whose function words take the largest share, or '' below one in ten."""
-    best, share = "", 0.1
-    for lang, own in LANGUAGE_OF.items():
-        s = sum(w in own for w in words) / max(1, len(words))
-        if s > share:
-            best, share = lang, s
-    return best
+    """The language whose function words take the largest share, or '' below one in ten; ties go to the first listed."""
+    votes = dict.fromkeys(LANGUAGE_OF, 0)
+    for langs in [LANGUAGES_OF_WORD[w] for w in words if w in LANGUAGES_OF_WORD]:
+        for lang in langs:
+            votes[lang] += 1
+    best = max(votes, key=lambda lang: votes[lang])
+    return best if votes[best] > 0.1 * max(1, len(words)) else ""
+
+
+def masked(block: str) -> bytes:
+    """A block's bytes with one host name for all and 0 for every number."""
+    if "/" in block and "." in block:
+        block = HOST.sub("/", block)
+    return DIGITS.sub("0", block).encode("utf-8", "surrogatepass")
 
 
 def hot_terms(words: list[str]) -> frozenset[str]:
     """The content words that each take HOT_SHARE of a page's words, met at least five times."""
     least = max(5.0, HOT_SHARE * len(words))
-    return frozenset(w for w, n in Counter(words).items() if n >= least and len(w) > 2 and w not in ALL_FUNCTION_WORDS)
+    return frozenset(w for w, n in Counter(words).items() if n >= least and len(w) > 2 and w not in LANGUAGES_OF_WORD)
 
 
 def kind_of(segment: str, hot: frozenset[str]) -> str:
@@ -111,7 +118,7 @@ def block_statistics(df: DataFrame, key: str, text: str) -> DataFrame:
             out: dict[str, list] = {c: [] for c in ("k", "lang", "step", "chars", "ratio", "kind")}
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for kind, block in blocks(t) if t else ():
-                    raw = DIGITS.sub("0", HOST.sub("/", block)).encode("utf-8", "surrogatepass")
+                    raw = masked(block)
                     words = WORD.findall(block.lower())
                     out["k"].append(k)
                     out["lang"].append(language(words))
