@@ -8,6 +8,7 @@ from corpusmill.functions import text as T
 from corpusmill.operators import packing as P
 from corpusmill.operators import sampling as S
 from corpusmill.operators import vocabulary as V
+from corpusmill.operators.running import global_rank
 from corpusmill.plans.cleaning import DOCS, docs, sql_collapsed
 
 SIZE = 256
@@ -42,11 +43,10 @@ def window_locate(spark, d):  # noqa: ANN001, ANN201
 
 
 def epoch_shard(spark, d):  # noqa: ANN001, ANN201
-    from pyspark.sql.window import Window
-
     world = 4
-    rows = docs(spark, d).select("doc_id").withColumn("rn", F.row_number().over(Window.orderBy(S.hashed_key("epoch-0", "doc_id"), "doc_id")) - 1).withColumn("n", F.count("*").over(Window.partitionBy()))
-    return rows.filter(F.col("rn") < F.col("n") - F.col("n") % world).select("doc_id", (F.col("rn") % world).alias("rank"), F.floor(F.col("rn") / world).alias("at"))
+    rows = global_rank(docs(spark, d).select("doc_id"), [S.hashed_key("epoch-0", "doc_id"), F.col("doc_id")], "rn").withColumn("rn", F.col("rn") - 1)
+    n = docs(spark, d).agg(F.count("*").alias("n"))
+    return rows.join(F.broadcast(n)).filter(F.col("rn") < F.col("n") - F.col("n") % world).select("doc_id", (F.col("rn") % world).alias("rank"), F.floor(F.col("rn") / world).alias("at"))
 
 
 def shard_assign(spark, d):  # noqa: ANN001, ANN201
