@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from corpusmill.config import BOILERPLATE, Cleaning
 from corpusmill.functions import text as T
 from corpusmill.operators import cleaning as C
+from corpusmill.session import checkpointed
 from corpusmill.sources.tables import table
 
 SHARDS = 4
@@ -89,7 +90,7 @@ def source_yield(spark, d):  # noqa: ANN001, ANN201
 
 
 def _ocr(spark, d):  # noqa: ANN001, ANN202
-    kept = chain(spark, d, ocr=False).filter("reason = 'kept'").select("doc_id", "source", F.col("clean_text").alias("text"))
+    kept = checkpointed(chain(spark, d, ocr=False).filter("reason = 'kept'").select("doc_id", "source", F.col("clean_text").alias("text")))
     return C.nonword_ratio(kept, "doc_id", "text", table(spark, d, "wordlist", "word")).filter("n_tokens >= 50").join(kept.select("doc_id", "source"), "doc_id")
 
 

@@ -4,8 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+SMALL = 1_000_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where a scan gives fewer partitions than there are, as a single file of one row group does.
+
+    Large tables, of more files than cores, and small ones are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size > SMALL and df.rdd.getNumPartitions() < cores else df
+
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """The parquet table ``name`` below ``folder``; ``columns`` prune the scan."""
     df = spark.read.parquet(f"{folder}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    return spread(df.select(*columns) if columns else df)
