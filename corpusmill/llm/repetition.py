@@ -109,7 +109,7 @@ def records(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     parts = []
     for name in names:
         where, key, text = columns[name]
-        parts.append(table(spark, sf_dir, where).select(F.lit(name).alias("source"), F.col(key).alias("rec_id"), F.col(text).alias("text")))
+        parts.append(table(spark, sf_dir, where, key, text).select(F.lit(name).alias("source"), F.col(key).alias("rec_id"), F.col(text).alias("text")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -126,4 +126,4 @@ def p1_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_frequency(table(spark, sf_dir, "sec"), "sec_id", "filer", "text")
+    return line_frequency(table(spark, sf_dir, "sec", "sec_id", "filer", "text"), "sec_id", "filer", "text")

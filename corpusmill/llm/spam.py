@@ -155,9 +155,9 @@ def stuffed_pages(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = stuffed_pages(table(spark, sf_dir, "documents"), "doc_id", "text")
+    pages = stuffed_pages(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
     return pages.filter((F.col("redundancy") < REDUNDANT) & (F.col("stuffed") >= MIN_STUFFED)).select("doc_id")
 
 
 def p10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stuffed_pages(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return stuffed_pages(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")

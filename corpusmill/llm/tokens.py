@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.arrow import map_arrow
+from corpusmill.sources.tables import table
 
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the vocabulary's published pre-token pattern.
@@ -164,5 +165,4 @@ def token_counts(df: DataFrame, keys: list[str], text: str, vocabulary: str = DE
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return encode_column(docs, "doc_id", "text")
+    return encode_column(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
