@@ -65,15 +65,19 @@ def clean(df: DataFrame, key: str, text: str, strict: Column | None = None, dict
     null text is an empty one. The OCR gate runs on rows where ``strict`` holds and only
     if a dictionary is given; only texts that pass the other checks reach its join.
     """
-    body = strip_boilerplate(filter_lines(F.col(text), rules))
-    rows = df.withColumn("_body", body).withColumn("raw_chars", F.length(T.text_or_empty(F.col(text)))).withColumn("clean_chars", F.length("_body"))
-    first = (
-        F.when(F.col("clean_chars") < rules.min_doc_chars, "too_short")
-        .when(repetition(F.col("_body"), rules) > rules.max_repetition, "repetitive")
-        .when(~is_english(F.col("_body"), rules), "non_english")
-        .otherwise("kept")
-    )
-    rows = rows.withColumn("reason", first)
+    def judged(body: Column) -> Column:
+        reason = (
+            F.when(F.length(body) < rules.min_doc_chars, "too_short")
+            .when(repetition(body, rules) > rules.max_repetition, "repetitive")
+            .when(~is_english(body, rules), "non_english")
+            .otherwise("kept")
+        )
+        return F.struct(body.alias("body"), reason.alias("reason"), F.length(body).alias("chars"))
+
+    # a generator of one row keeps later filters from repeating the chain's expressions
+    once = T.let(strip_boilerplate(filter_lines(F.col(text), rules)), judged)
+    rows = df.select("*", F.length(T.text_or_empty(F.col(text))).alias("raw_chars"), F.explode(F.array(once)).alias("_c"))
+    rows = rows.select("*", F.col("_c.chars").alias("clean_chars"), F.col("_c.body").alias("_body"), F.col("_c.reason").alias("reason")).drop("_c")
     if dictionary is not None:
         rows = checkpointed(rows)  # read by the gate's branch and by the result
         gated = rows.filter((F.col("reason") == "kept") & (strict if strict is not None else F.lit(True)))
