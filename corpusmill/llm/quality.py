@@ -133,12 +133,12 @@ def record_statistics(lines: DataFrame) -> DataFrame:
             div = lambda a, b: round(a / b, DECIMALS) if b else 0.0
             return [
                 words,
-                div(int(c["letters"].sum()), words),
+                min(100.0, div(int(c["letters"].sum()), words)),
                 div(int(c["symbols"].sum()), chars),
                 div(int(c["digits"].sum()), chars),
                 div(int(c["ended"].sum()), lines),
                 div(int(c["common"].sum()), words),
-                round(div(words, lines), 1),
+                min(1000.0, round(div(words, lines), 1)),
                 div(left, left + other),
                 left + other,
             ]
@@ -199,15 +199,16 @@ def outlier_scores(stats: DataFrame) -> DataFrame:
     """``stats`` with the mean (``score``) and largest (``most``) of minus the logs of its two-sided tail probabilities.
 
     A typical record has a mean of about 1; an empty record has that of its zeros.
-    The statistics have three decimals or one, so a distribution has few thousand distinct
-    values a language whatever the number of records, and its rows are broadcast.
+    The statistics have three decimals or one and an upper bound (100 letters a word, 1,000
+    words a line), so a distribution has at most 100,001 values a language whatever the
+    number of records, mostly some thousands, and its rows are broadcast.
     """
     tails = distributions(stats)
     out = stats
     for s in STATISTICS:
         p = F.least(F.lit(1.0), 2 * F.least("below", "above") / F.col("total"))
         one = tails.filter(F.col("stat") == s).select("lang", F.col("value").alias(s), (-F.log(p)).alias(f"_{s}"))
-        out = out.join(one, ["lang", s], "left")
+        out = out.join(F.broadcast(one), ["lang", s], "left")
     score = sum((F.col(f"_{s}") for s in STATISTICS), F.lit(0.0)) / len(STATISTICS)
     most = F.greatest(*[F.col(f"_{s}") for s in STATISTICS])
     return out.withColumn("score", F.round(score, 6)).withColumn("most", F.round(most, 6)).select(*stats.columns, "score", "most")

@@ -32,6 +32,7 @@ LEXICON_LEAST = 4
 NAME_SHARE = 5e-7
 NAME_LEAST = 3
 MAX_WEIGHT = 1.05
+MOST_UNKNOWN = 0.4
 RATIO = 10
 
 # Shapes that readers of scanned pages confuse (read -> printed).
@@ -52,7 +53,7 @@ CITE = re.compile(r"^\W*[CG][il1!]t[ec]\s+as\b.*\d\W*$", re.I)
 REPORTS = re.compile(r"^\W*\d+\s+.*\bREP[O0]RTS\W*$|\bREP[O0]RTS\s+\d+\W*$", re.I)
 TERM = re.compile(r"\b(?:T[EF]RM|Term)\b.*[\dlIO]{4}\W*$")
 VERSUS = re.compile(r"\b[vV][.,_]?\s")
-SECTION = re.compile(r"^\W*(?:[IVXLC]+|[A-Z]|\d{1,2})[.)]\s*$|^\(\d{1,2}\)$|^§+\s*\d*\.?$")
+MAYBE = re.compile(r"\d|\b[vV][.,_]?\s|\b[vV]$")
 
 
 def letters(s: str) -> str:
@@ -75,7 +76,7 @@ def is_furniture(line: str, title: str, before: str, after: str) -> bool:
     the nearest lines of text.
     """
     s = line.strip()
-    if not s:
+    if not MAYBE.search(s):
         return False
     digits = sum(c.isdigit() for c in s)
     bare = letters(s)
@@ -240,6 +241,9 @@ class Reader:
                 i += 1
             if misread:
                 sure.append((k, "misread"))
+        # a text of mostly unknown strings is no damaged prose but codes or gibberish
+        if len(look) > MOST_UNKNOWN * sum(len(rows[k].split()) for k in body):
+            look = []
         return sure, look
 
     def parted(self, left: str, right: str, before: str) -> bool:
