@@ -50,10 +50,10 @@ def nonword_ratio(df: DataFrame, key: str, text: str, dictionary: DataFrame, rul
     known = dictionary.select(F.lower("word").alias("_word")).distinct().withColumn("_known", F.lit(1))
     rows = docs.select(key, F.explode("_w").alias("_word")).groupBy(key, "_word").agg(F.count("*").alias("_n")).join(known, "_word", "left")
     unknown = rows.groupBy(key).agg(F.sum(F.when(F.col("_known").isNull(), F.col("_n")).otherwise(0)).alias("n_unknown"))
-    some = known.limit(1).agg(F.count("*").alias("_some"))
-    out = docs.select(key, F.size("_w").alias("n_tokens")).join(unknown, key, "left").join(F.broadcast(some))
+    empty = known.isEmpty()
+    out = docs.select(key, F.size("_w").alias("n_tokens")).join(unknown, key, "left")
     n = F.coalesce("n_unknown", F.lit(0))
-    ratio = F.when((F.col("n_tokens") >= rules.nonword_min_tokens) & (F.col("_some") > 0), n.cast("double") / F.col("n_tokens")).otherwise(0.0)
+    ratio = F.when((F.col("n_tokens") >= rules.nonword_min_tokens) & F.lit(not empty), n.cast("double") / F.col("n_tokens")).otherwise(0.0)
     return out.select(key, "n_tokens", n.alias("n_unknown"), ratio.alias("ratio"))
 
 

@@ -6,6 +6,7 @@ Embedding values stand for token scores, event values for losses and timings.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from corpusmill.operators import metrics as M
 from corpusmill.sources.tables import table
@@ -67,15 +68,14 @@ def best_checkpoint(spark, d):  # noqa: ANN001, ANN201
 def bench_summary(spark, d):  # noqa: ANN001, ANN201
     rows = _losses(spark, d)
     by = rows.groupBy("event_type").agg(F.count("*").alias("n"), F.bround(F.median("loss"), 6).alias("median_s"), F.bround(F.stddev_pop("loss"), 6).alias("stdev_s"))
-    slow = by.agg(F.max("median_s").alias("slowest"))
-    return by.join(F.broadcast(slow)).select("event_type", "n", "median_s", "stdev_s", F.bround(F.try_divide("slowest", "median_s"), 4).alias("speedup"))
+    slowest = F.max("median_s").over(Window.partitionBy())  # of a few event types
+    return by.select("event_type", "n", "median_s", "stdev_s", F.bround(F.try_divide(slowest, F.col("median_s")), 4).alias("speedup"))
 
 
 def quality_verdict(spark, d):  # noqa: ANN001, ANN201
-    rows = loss_token_mean(spark, d)
-    base = rows.agg(F.min("loss").alias("base"))
-    ratio = F.try_divide("loss", "base")
-    return rows.join(F.broadcast(base)).select("event_type", F.bround(ratio, 4).alias("ratio"), M.quality_verdict(ratio).alias("verdict"))
+    base = F.min("loss").over(Window.partitionBy())  # of a few event types
+    rows = loss_token_mean(spark, d).select("event_type", F.try_divide(F.col("loss"), base).alias("r"))
+    return rows.select("event_type", F.bround("r", 4).alias("ratio"), M.quality_verdict(F.col("r")).alias("verdict"))
 
 
 def param_count(spark, d):  # noqa: ANN001, ANN201

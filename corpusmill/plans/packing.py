@@ -45,8 +45,8 @@ def window_locate(spark, d):  # noqa: ANN001, ANN201
 def epoch_shard(spark, d):  # noqa: ANN001, ANN201
     world = 4
     rows = global_rank(docs(spark, d).select("doc_id"), [S.hashed_key("epoch-0", "doc_id"), F.col("doc_id")], "rn").withColumn("rn", F.col("rn") - 1)
-    n = docs(spark, d).agg(F.count("*").alias("n"))
-    return rows.join(F.broadcast(n)).filter(F.col("rn") < F.col("n") - F.col("n") % world).select("doc_id", (F.col("rn") % world).alias("rank"), F.floor(F.col("rn") / world).alias("at"))
+    n = docs(spark, d).count()
+    return rows.filter(F.col("rn") < n - n % world).select("doc_id", (F.col("rn") % world).alias("rank"), F.floor(F.col("rn") / world).alias("at"))
 
 
 def shard_assign(spark, d):  # noqa: ANN001, ANN201
