@@ -3,8 +3,8 @@
 Responses are sorted by text over the whole cluster and each is compared with its
 neighbour: a response that its successor continues in the middle of a word is a shortened
 version. Lengths at which unfinished responses pile up are length limits. The rules for
-copies, refusals, languages and unfinished ends then decide, the neighbours and a word
-count of the whole table settling whether a last word is a fragment.
+copies, refusals, languages and unfinished ends then decide, the neighbours, the prompt's
+longer words and a share over the whole table settling whether a last word is a fragment.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.functions import text as T
 from corpusmill.functions.arrow import map_arrow
 from corpusmill.session import checkpointed
 from corpusmill.sources.tables import table
@@ -53,6 +54,10 @@ LETTERS = re.compile(r"[^\W\d_]+(?:[’'-][^\W\d_]+)*")
 FINISHED = re.compile(r"[.!?…。！？:;}\])\"'”’»]$")
 ABBREVIATED = re.compile(r"(?:\bv|\bNo|\bRep|\bAld|\bpp?|\be\.g|\bi\.e)\.$")
 BULLET = re.compile(r"(?m)^\s*(?:[-*•]|\d+[.)])\s")
+INFLECTION = re.compile(r"(?:[’']?s|es|e?d|ing|ly)")
+# A last word is a word where it is met inside sentences this often for each answer that ends on it.
+TIMES_INSIDE = 8
+SHORT_WORDS = 4
 
 
 def script(text: str) -> str:
@@ -102,7 +107,11 @@ def copies(answer: str, user: str) -> bool:
 
 
 def unfinished(answer: str, user: str) -> tuple[str, str]:
-    """('', '') for a finished answer, ('cut', '') for one surely cut, else ('open', last word)."""
+    """('', '') for a finished answer, ('cut', '') for one surely cut, else ('open', last word).
+
+    An answer of more than SHORT_WORDS words is cut where its last word begins a longer word
+    of the prompt, unless that is an inflected form of it.
+    """
     a = answer.rstrip()
     if a[:1] in "{[" and len(a) > 1 and BULLET.match(a) is None:
         depth = sum(a.count(c) for c in "{[") - sum(a.count(c) for c in "}]")
@@ -127,11 +136,16 @@ def unfinished(answer: str, user: str) -> tuple[str, str]:
         if last not in follow and any(f.startswith(last) for f in follow):
             return "cut", ""
         return "", ""
+    head = words[-1]
+    if len(words) > SHORT_WORDS and len(head) > 1 and last == head.lower():
+        longer = [w for w in LETTERS.findall(user) if len(w) > len(head) and w[1:].startswith(head[1:]) and w[0].lower() == head[0].lower()]
+        if any(not INFLECTION.fullmatch(w[len(head) :].lower()) for w in longer):
+            return "cut", ""
     return "open", last
 
 
 def judged(df: DataFrame, key: str, user: str, answer: str, kind: str) -> DataFrame:
-    """What the rules say of each row: ``defect`` ('' for none yet), ``last`` and ``size``."""
+    """What the rules say of each row: ``defect`` ('' for none yet), ``last``, ``answer`` and ``asked``, the prompt's hash."""
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def judge(u: str | None, a: str | None, k: str | None) -> tuple[str, str]:
@@ -152,13 +166,13 @@ def judged(df: DataFrame, key: str, user: str, answer: str, kind: str) -> DataFr
 
         def work(batch: pa.RecordBatch) -> dict:
             found = [judge(u, a, k) for u, a, k in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)))]
-            return {"k": batch.column(0), "defect": [d for d, _ in found], "last": [w or None for _, w in found], "answer": batch.column(2)}
+            return {"k": batch.column(0), "defect": [d for d, _ in found], "last": [w or None for _, w in found], "answer": batch.column(2), "asked": batch.column(4)}
 
         return work
 
     t = df.select(F.col(key)).schema[0].dataType.simpleString()
-    picked = df.select(F.col(key).alias("k"), F.col(user).alias("u"), F.col(answer).alias("a"), F.col(kind).alias("t"))
-    return map_arrow(picked, make, f"k {t}, defect string, last string, answer string")
+    picked = df.select(F.col(key).alias("k"), F.col(user).alias("u"), F.col(answer).alias("a"), F.col(kind).alias("t"), F.xxhash64(user).alias("asked"))
+    return map_arrow(picked, make, f"k {t}, defect string, last string, answer string, asked bigint")
 
 
 def shortened(answers: DataFrame) -> DataFrame:
@@ -212,6 +226,21 @@ def length_limits(rows: DataFrame, least: int = 30, times: float = 6.0) -> DataF
     return sizes.join(mean, "size", "left").filter((F.col("n") >= least) & (F.col("n") > times * F.coalesce("mean", F.lit(0.0)))).select("size")
 
 
+def finished_words(texts: DataFrame, open_rows: DataFrame) -> DataFrame:
+    """The ``last`` words that are met TIMES_INSIDE times inside ``texts`` for each different answer that ends on them.
+
+    Both counts grow with the table, so the rule is the same at every size. A word that
+    its text breaks off on isn't counted. An answer given to several prompts counts as
+    whole, so labels are words even where no sentence holds them.
+    """
+    # the last piece is what follows the last separator: empty, or the word the text ends on
+    pieces = T.let(F.split(F.lower("t"), r"[^\p{L}'’-]+"), lambda w: F.slice(w, F.lit(1), F.size(w) - 1))
+    inside = texts.filter("t is not null").select(F.explode(pieces).alias("last")).groupBy("last").agg(F.count("*").alias("inside"))
+    given = open_rows.select("last", "answer", "asked").distinct().groupBy("last", "answer").agg(F.count("*").alias("n"))
+    ends = given.groupBy("last").agg(F.count("*").alias("ends"), F.sum(F.col("n") - 1).alias("again"))
+    return ends.join(inside, "last", "left").filter(F.coalesce("inside", F.lit(0)) + F.col("again") >= TIMES_INSIDE * F.col("ends")).select("last")
+
+
 def defects(df: DataFrame, key: str, user: str, answer: str, kind: str) -> DataFrame:
     """``key`` and ``defect`` of every defective row, one defect a row.
 
@@ -221,12 +250,12 @@ def defects(df: DataFrame, key: str, user: str, answer: str, kind: str) -> DataF
     """
     rows = checkpointed(judged(df, key, user, answer, kind))
     texts = df.select(F.col(user).alias("t")).unionByName(rows.filter("defect = ''").select(F.col("answer").alias("t")))
-    known = texts.select(F.explode(F.split(F.lower("t"), r"[^\p{L}'’-]+")).alias("last")).groupBy("last").agg(F.count("*").alias("n")).filter("n >= 12")
+    open_rows = rows.filter("last is not null").withColumn("size", F.length("answer"))
+    known = finished_words(texts, open_rows).withColumn("known", F.lit(True))
     short = shortened(rows.filter("answer is not null and defect = ''")).withColumn("short", F.lit(True))
     limit = length_limits(rows).withColumn("limit", F.lit(True))
-    open_rows = rows.filter("last is not null").withColumn("size", F.length("answer"))
     settled = open_rows.join(known, "last", "left").join(short, "answer", "left").join(limit, "size", "left")
-    cut = settled.filter(F.col("n").isNull() | F.col("short") | F.col("limit")).select("k", F.lit("truncated").alias("defect"))
+    cut = settled.filter(F.col("known").isNull() | F.col("short") | F.col("limit")).select("k", F.lit("truncated").alias("defect"))
     return rows.filter("defect <> ''").select("k", "defect").unionByName(cut).select(F.col("k").alias(key), "defect")
 
 

@@ -281,6 +281,18 @@ def test_defects(spark):
     assert pairs.defects(df.limit(0), "row_id", "user", "assistant", "kind").count() == 0
 
 
+def test_fragments_stay_fragments_as_the_table_grows(spark):
+    q = "Context:\nThe finally heard appeal closed in 1984.\n\nWhat came of appeal {}?"
+    rows = [(i, q.format(i), f"In matter {i} the clerk went to Ostv", "lookup") for i in range(40)]
+    rows += [(100 + i, q.format(i), f"The appeal came before court {i} and was fin", "lookup") for i in range(40)]
+    rows += [(200 + i, q.format(i), "Upheld", "lookup") for i in range(20)]
+    rows += [(300 + i, q.format(i), f"The registry noted that it was closed in {i} days.", "lookup") for i in range(40)]
+    rows += [(400, q.format(0), "An old registry", "lookup")]
+    df = spark.createDataFrame(rows, "row_id bigint, user string, assistant string, kind string")
+    got = {r.row_id: r.defect for r in pairs.defects(df, "row_id", "user", "assistant", "kind").collect()}
+    assert got == {i: "truncated" for i in [*range(40), *range(100, 140)]}
+
+
 def test_shortened_against_sorted_neighbours(spark):
     rng = random.Random(12)
     texts = {"".join(rng.choice("ab ") for _ in range(rng.randint(1, 9))) for _ in range(300)}
