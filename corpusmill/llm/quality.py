@@ -3,8 +3,9 @@
 Each statistic's exact empirical distribution is computed per language: values are
 counted first (so ties cost nothing), sorted by range partitioning, and every partition
 adds the number of records in the partitions before it to its own running counts. A
-record's tail probabilities are combined into an outlier score; outliers that hold next
-to no sentences, apart from a source's standing lines and one opening sentence, are named.
+record's tail probabilities are combined into an outlier score. Records that hold next to
+no sentences, apart from a source's standing lines and one opening sentence, are named,
+the most outlying first; the score excludes none, as common junk is no outlier.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from corpusmill.llm.standing import standing_lines
 from corpusmill.session import checkpointed
 from corpusmill.sources.tables import table
 
-MIN_OUTLYING = 2.0
 MAX_PROSE = 0.45
 MIN_REST_WORDS = 8
 STATISTICS = ("mean_word_length", "symbol_ratio", "digit_ratio", "ended_share", "common_share", "words_per_line")
@@ -228,9 +228,9 @@ def p6_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def junk():  # noqa: ANN201
-    """Outliers that hold next to no sentences."""
-    return (F.col("most") >= MIN_OUTLYING) & (F.col("prose_share") <= MAX_PROSE) & (F.col("rest") >= MIN_REST_WORDS)
+    """Records that hold next to no sentences."""
+    return (F.col("prose_share") <= MAX_PROSE) & (F.col("rest") >= MIN_REST_WORDS)
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored(spark, sf_dir).filter(junk()).select("source", "rec_id")
+    return scored(spark, sf_dir).filter(junk()).orderBy(F.desc("score"), "source", "rec_id").select("source", "rec_id")

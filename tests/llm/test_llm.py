@@ -326,6 +326,16 @@ def test_junk_and_prose(spark):
     assert out.count() == len(rows)
 
 
+def test_common_junk_is_found(spark):
+    rng = random.Random(15)
+    tables = ["\n".join(f"Core audit | {rng.randint(1000, 9999)} | {rng.random():.2f} | -" for _ in range(30)) for _ in range(40)]
+    rows = [(i, prose(rng, 10)) for i in range(60)] + [(100 + i, t) for i, t in enumerate(tables)]
+    df = spark.createDataFrame(rows, "rec_id bigint, text string").withColumn("source", F.lit("x"))
+    lines = quality.line_statistics(df).withColumn("gone", F.lit(None).cast("array<int>"))
+    out = quality.outlier_scores(quality.checkpointed(quality.record_statistics(lines)))
+    assert {r.rec_id for r in out.filter(quality.junk()).collect()} == set(range(100, 140))
+
+
 def test_stuffed_pages(spark):
     rng = random.Random(15)
     keywords = " | ".join(rng.choice(["cheap will kit", "will kit Ostholt", "best will kit online", "will kit free"]) for _ in range(80))
