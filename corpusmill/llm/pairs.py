@@ -10,6 +10,7 @@ longer words and a share over the whole table settling whether a last word is a
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
@@ -89,6 +90,15 @@ def question_of(user: str) -> str:
     return re.split(r"\n\s*\n", user.strip())[-1].strip()
 
 
+def aligned(a: list[str], b: list[str]) -> int:
+    """Words that two texts have in common in order: the same beginning and end, and the blocks between."""
+    short = min(len(a), len(b))
+    head = next((i for i in range(short) if a[i] != b[i]), short)
+    tail = next((i for i in range(short - head) if a[-1 - i] != b[-1 - i]), short - head)
+    match = SequenceMatcher(None, a[head : len(a) - tail], b[head : len(b) - tail], autojunk=False)
+    return head + tail + sum(m.size for m in match.get_matching_blocks())
+
+
 def copies(answer: str, user: str) -> bool:
     """Whether the answer is the question, or the whole prompt, with at most a few words round it."""
     said = [w.lower() for w in WORD.findall(answer)]
@@ -96,12 +106,9 @@ def copies(answer: str, user: str) -> bool:
         q = [w.lower() for w in WORD.findall(asked)]
         if len(q) < 3 or not len(q) * 0.8 <= len(said) <= len(q) * 1.2 + 5:
             continue
-        if len(said) <= 400:
-            match = SequenceMatcher(None, q, said, autojunk=False)
-            same = sum(b.size for b in match.get_matching_blocks())
-            if same >= 0.88 * len(q) and len(said) - same <= max(4, 0.15 * len(q)):
-                return True
-        elif said == q:
+        enough = lambda same: same >= 0.88 * len(q) and len(said) - same <= max(4, 0.15 * len(q))  # noqa: E731, B023
+        # no alignment has more words in common than the two hold, whatever their order
+        if enough((Counter(q) & Counter(said)).total()) and enough(aligned(q, said)):
             return True
     return False
 

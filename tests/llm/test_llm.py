@@ -281,6 +281,17 @@ def test_defects(spark):
     assert pairs.defects(df.limit(0), "row_id", "user", "assistant", "kind").count() == 0
 
 
+def test_long_copies_with_words_round_them():
+    rng = random.Random(16)
+    asked = prose(rng, 80)
+    words = asked.split(" ")
+    assert len(words) > 420
+    changed = " ".join("other" if i % 20 == 7 else w for i, w in enumerate(words))
+    shuffled = " ".join(rng.sample(words, len(words)))
+    assert pairs.copies(asked, asked) and pairs.copies(f"Question: {asked}", asked) and pairs.copies(changed, asked)
+    assert not pairs.copies(shuffled, asked) and not pairs.copies(prose(rng, 80), asked)
+
+
 def test_fragments_stay_fragments_as_the_table_grows(spark):
     q = "Context:\nThe finally heard appeal closed in 1984.\n\nWhat came of appeal {}?"
     rows = [(i, q.format(i), f"In matter {i} the clerk went to Ostv", "lookup") for i in range(40)]
