@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusmill.operators.running import running_total
+
 
 def _cosine(progress: Column, high: float, low: float) -> Column:
     return F.lit(low) + 0.5 * (high - low) * (1.0 + F.cos(math.pi * progress))
@@ -50,6 +52,12 @@ def best_so_far(df: DataFrame, group: list[str], order: str, value: str) -> Data
     return df.withColumn("best", least.isNull() | (F.col(value) < least))
 
 
+def until_spent(df: DataFrame, group: list[str], order: str, value: Column, cap: float) -> DataFrame:
+    """The rows of each run up to and with the one whose running sum of ``value`` reaches ``cap``."""
+    spent = running_total(df, group, order, value, "_spent")
+    return spent.filter(F.col("_spent") < cap).drop("_spent")
+
+
 def quality_verdict(ratio: Column) -> Column:
     return F.when(ratio < 1.10, "OK").when(ratio < 2.0, "DEGRADED").otherwise("BROKEN")
 

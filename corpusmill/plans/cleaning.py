@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusmill.config import BOILERPLATE, Cleaning
 from corpusmill.functions import text as T
 from corpusmill.operators import cleaning as C
-from corpusmill.session import checkpointed
 from corpusmill.sources.tables import table
 
 SHARDS = 4
 CAP = 20_000.0
+SLICE = "sec-train-00000"
 
 
 def docs(spark: SparkSession, d: str) -> DataFrame:
@@ -41,12 +40,12 @@ def clean_strip_boilerplate(spark, d):  # noqa: ANN001, ANN201
 
 def clean_length_gate(spark, d):  # noqa: ANN001, ANN201
     n = docs(spark, d).select("doc_id", F.length(C.strip_boilerplate(C.filter_lines(F.col("text")))).alias("clean_chars"))
-    return n.withColumn("too_short", F.col("clean_chars") < Cleaning().min_doc_chars)
+    return n.withColumn("too_short", F.col("clean_chars") < C.SHORTEST_TEXT)
 
 
 def clean_repetition(spark, d):  # noqa: ANN001, ANN201
     r = docs(spark, d).select("doc_id", C.repetition(C.strip_boilerplate(C.filter_lines(F.col("text")))).alias("r"))
-    return r.select("doc_id", F.bround("r", 6).alias("top_share"), (F.col("r") > Cleaning().max_repetition).alias("repetitive"))
+    return r.select("doc_id", F.bround("r", 6).alias("top_share"), (F.col("r") > C.MOST_REPEATED).alias("repetitive"))
 
 
 def clean_ascii_ratio(spark, d):  # noqa: ANN001, ANN201
@@ -57,6 +56,12 @@ def clean_language_gate(spark, d):  # noqa: ANN001, ANN201
     return docs(spark, d).select("doc_id", C.is_english(C.strip_boilerplate(C.filter_lines(F.col("text")))).alias("english"))
 
 
+def clean_language_detect(spark, d):  # noqa: ANN001, ANN201
+    """The language gate with a detector for its middle band."""
+    body = C.strip_boilerplate(C.filter_lines(F.col("text")))
+    return docs(spark, d).select("doc_id", T.let(body, lambda b: C.is_english(b, C.english_words(b))).alias("english"), T.let(body, C.english_words).alias("detected"))
+
+
 def clean_ocr_ratio(spark, d):  # noqa: ANN001, ANN201
     out = C.nonword_ratio(docs(spark, d), "doc_id", "text", table(spark, d, "wordlist", "word"))
     return out.select("doc_id", "n_tokens", "n_unknown", F.bround("ratio", 6).alias("ratio"))
@@ -74,12 +79,18 @@ def clean_report(spark, d):  # noqa: ANN001, ANN201
     return C.report(chain(spark, d), "source", "shard")
 
 
+def firsts(spark, d, n):  # noqa: ANN001, ANN201
+    """The rows of each source's ``n`` smallest ids; only ids are ranked, and every task passes on no more than ``n`` of them a source."""
+    order = Window.partitionBy("source").orderBy("doc_id")
+    ids = table(spark, d, "documents", "doc_id", "source").filter("source is not null").withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= n)
+    return docs(spark, d).join(ids.select("doc_id"), "doc_id", "left_semi")
+
+
 def smoke_excerpt(spark, d):  # noqa: ANN001, ANN201
-    rows = chain(spark, d, ocr=False)
+    rows = C.clean(firsts(spark, d, 10), "doc_id", "text")
     flat = lambda c, n: F.replace(F.substring(c, 1, n), F.lit("\n"), F.lit(" "))
     shown = F.when(F.col("reason") == "kept", flat(F.col("clean_text"), 240)).otherwise(flat(T.text_or_empty(F.col("text")), 160))
-    order = Window.partitionBy("source").orderBy("doc_id")
-    return rows.withColumn("rn", F.row_number().over(order)).filter("rn <= 10").select("doc_id", "source", "reason", F.md5(shown).alias("excerpt_md5"))
+    return rows.select("doc_id", "source", "reason", F.md5(shown).alias("excerpt_md5"))
 
 
 def source_yield(spark, d):  # noqa: ANN001, ANN201
@@ -90,30 +101,41 @@ def source_yield(spark, d):  # noqa: ANN001, ANN201
 
 
 def _ocr(spark, d):  # noqa: ANN001, ANN202
-    kept = checkpointed(chain(spark, d, ocr=False).filter("reason = 'kept'").select("doc_id", "source", F.col("clean_text").alias("text")))
-    return C.nonword_ratio(kept, "doc_id", "text", table(spark, d, "wordlist", "word")).filter("n_tokens >= 50").join(kept.select("doc_id", "source"), "doc_id")
+    """``source``, ``ratio`` to six decimals and the number ``n`` of kept texts that have it: at most a million rows a source."""
+    count = C.word_tester(table(spark, d, "wordlist", "word"))
+    kept = chain(spark, d, ocr=False).filter("reason = 'kept'").select("source", count(F.col("clean_text")).alias("c")).filter(F.col("c.n_tokens") >= C.FEWEST_WORDS)
+    ratio = F.col("c.n_unknown").cast("double") / F.col("c.n_tokens")
+    return kept.select("source", ratio.alias("exact"), F.bround(ratio, 6).alias("ratio"))
 
 
 def ocr_percentiles(spark, d):  # noqa: ANN001, ANN201
+    by = _ocr(spark, d).groupBy("source", "ratio").agg(F.count("*").alias("n"))
     w = Window.partitionBy("source")
-    rows = _ocr(spark, d).withColumn("rn", F.row_number().over(w.orderBy("ratio", "doc_id"))).withColumn("n", F.count("*").over(w))
-    ranks = spark.createDataFrame([(p,) for p in (50, 75, 90, 95, 99)], "p int")
-    at = F.floor(F.col("p") / 100 * (F.col("n") - 1)) + 1
-    return rows.join(F.broadcast(ranks), F.col("rn") == at).select("source", "p", F.bround("ratio", 6).alias("ratio"))
+    rows = by.withColumn("upto", F.sum("n").over(w.orderBy("ratio"))).withColumn("total", F.sum("n").over(w))
+    at = F.floor(F.col("p") / 100 * (F.col("total") - 1)) + 1
+    ranks = rows.select("*", F.explode(F.array(*[F.lit(p) for p in (50, 75, 90, 95, 99)])).alias("p"))
+    return ranks.filter((F.col("upto") >= at) & (F.col("upto") - F.col("n") < at)).select("source", "p", "ratio")
 
 
 def ocr_thresholds(spark, d):  # noqa: ANN001, ANN201
-    over = [F.sum((F.col("ratio") > t / 100).cast("int")).alias(f"over_{t}") for t in (3, 5, 10, 20)]
+    over = [F.sum((F.col("exact") > t / 100).cast("int")).alias(f"over_{t}") for t in (3, 5, 10, 20)]
     return _ocr(spark, d).groupBy("source").agg(F.count("*").alias("n"), *over)
 
 
 def scan_sample(spark, d):  # noqa: ANN001, ANN201
-    rows = docs(spark, d).withColumn("rn", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")))
-    return rows.filter("rn <= 20").select("source", "doc_id", F.length(T.text_or_empty(F.col("text"))).alias("n_chars"))
+    return firsts(spark, d, 20).select("source", "doc_id", F.length(T.text_or_empty(F.col("text"))).alias("n_chars"))
 
 
 def scan_shard_slice(spark, d):  # noqa: ANN001, ANN201
-    return docs(spark, d).filter((F.col("source") == "sec") & (F.col("shard") < 2)).select("doc_id", "shard")
+    """One shard of one source; the shard's name is pushed to the scan."""
+    return table(spark, d, "sec", "sec_id", "shard", "idx").filter(F.col("shard") == SLICE).select("sec_id", "idx")
+
+
+def scan_sources(spark, d):  # noqa: ANN001, ANN201
+    """Documents and characters by source and shard over all raw tables."""
+    from corpusmill.plans.dedup import raw
+
+    return raw(spark, d).groupBy("source", "shard").agg(F.count("*").alias("n"), F.sum(F.length(T.text_or_empty(F.col("text")))).alias("chars"))
 
 
 def scan_lines(spark, d):  # noqa: ANN001, ANN201
@@ -129,7 +151,7 @@ def sink_corpus_line(spark, d):  # noqa: ANN001, ANN201
 # ---- SQL -------------------------------------------------------------------------------
 
 WS, EOL = T.SPACE, T.LINE_END
-BOILER = "(?i)" + "|".join(BOILERPLATE)
+BOILER = C.BOILER
 DOCS = f"docs AS (SELECT doc_id, source, coalesce(text, '') AS text, CAST(doc_id % {SHARDS} AS INTEGER) AS shard FROM documents WHERE source IS NOT NULL)"
 
 
@@ -170,7 +192,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         clean_line_stats, clean_filter_lines, clean_strip_boilerplate, clean_length_gate, clean_repetition, clean_ascii_ratio, clean_language_gate, clean_ocr_ratio, clean_chain, clean_budget,
-        clean_report, smoke_excerpt, source_yield, ocr_percentiles, ocr_thresholds, scan_sample, scan_shard_slice, scan_lines, sink_corpus_line,
+        clean_report, smoke_excerpt, source_yield, ocr_percentiles, ocr_thresholds, scan_sample, scan_shard_slice, scan_sources, scan_lines, sink_corpus_line, clean_language_detect,
     )
 }
 
@@ -191,7 +213,9 @@ SQL = {
     "ocr_percentiles": f"{RATIOS}, r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY ratio, doc_id) AS rn, count(*) OVER (PARTITION BY source) AS n FROM ratios), p AS (SELECT unnest([50, 75, 90, 95, 99]) AS p) SELECT source, CAST(p AS INTEGER) AS p, round_even(ratio, 6) AS ratio FROM r JOIN p ON rn = floor(p / 100.0::DOUBLE * (n - 1)) + 1",
     "ocr_thresholds": f"{RATIOS} SELECT source, count(*) AS n, " + ", ".join(f"count(*) FILTER (ratio > {t / 100}::DOUBLE) AS over_{t}" for t in (3, 5, 10, 20)) + " FROM ratios GROUP BY source",
     "scan_sample": f"WITH {DOCS}, r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM docs) SELECT source, doc_id, CAST(length(text) AS INTEGER) AS n_chars FROM r WHERE rn <= 20",
-    "scan_shard_slice": f"WITH {DOCS} SELECT doc_id, shard FROM docs WHERE source = 'sec' AND shard < 2",
+    "scan_shard_slice": f"SELECT sec_id, idx FROM sec WHERE shard = '{SLICE}'",
+    "scan_sources": "SELECT source, shard, count(*) AS n, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS chars FROM (SELECT 'case-law' AS source, shard, document AS text FROM case_law UNION ALL SELECT 'sec', shard, text FROM sec UNION ALL SELECT 'fineweb-edu', shard, text FROM fineweb_edu) GROUP BY ALL",
+    "clean_language_detect": f"WITH {DOCS}, {BODY}, {ENGLISH}, w AS (SELECT doc_id, regexp_extract_all(lower(substr(body, 1, 5000)), '[a-z0-9]+') AS w FROM body), d AS (SELECT doc_id, coalesce(CAST(len(list_filter(w, lambda x: x IN ({', '.join(repr(x) for x in C.ENGLISH_WORDS.split())}))) AS DOUBLE) / nullif(len(w), 0) >= {C.ENGLISH_SHARE}::DOUBLE, false) AS detected FROM w) SELECT doc_id, CASE WHEN a >= 0.99::DOUBLE THEN true WHEN a < 0.90::DOUBLE THEN false ELSE detected END AS english, detected FROM english JOIN d USING (doc_id)",
     "scan_lines": f"WITH {DOCS}, u AS (SELECT doc_id, unnest({sql_lines('text')}) AS line, unnest(range(len({sql_lines('text')}))) AS i FROM docs) SELECT doc_id, CAST(i AS INTEGER) AS idx, md5(line) AS line_md5 FROM u WHERE {sql_collapsed('line')} <> ''",
     "sink_corpus_line": f"{CHAIN} SELECT doc_id, md5({sql_collapsed('body')}) AS line_md5 FROM chain WHERE reason = 'kept'",
 }

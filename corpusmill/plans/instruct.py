@@ -1,7 +1,7 @@
 """Queries of the instruction- and preference-data operators, and their SQL.
 
-Model calls are not made: scores and candidates that a model would give are derived from
-md5 of the row's key, the same in both engines.
+Models are injected (``operators.calls``); here stand-ins give scores, candidates and
+replies, derived from md5 of the row's key or text, the same in both engines.
 """
 
 from __future__ import annotations
@@ -12,14 +12,18 @@ from pyspark.sql.window import Window
 from corpusmill.functions import text as T
 from corpusmill.operators import instruct as I
 from corpusmill.operators import sampling as S
+from corpusmill.operators.calls import replies
 from corpusmill.operators.dedup import contaminated, eval_grams
 from corpusmill.plans.cleaning import DOCS, docs, sql_collapsed
 from corpusmill.plans.dedup import EVAL, sql_grams
 from corpusmill.sources.tables import table
 
+# Shares of sources and of tasks, numbers of passages and prompts, and the longest sequence.
 MIX = [("case-law", 0.5), ("sec", 0.35), ("fineweb-edu", 0.15)]
 TASKS = [("grounded_qa", 0.5), ("summarization", 0.2), ("extraction", 0.15), ("rewrite", 0.15)]
-N = 100
+N = 2500
+PROMPTS = 500
+LONGEST = 1024
 TEMPLATES = [("grounded_qa", "Ask and answer: {passage}"), ("summarization", "Summarize: {passage}"), ("extraction", "Extract: {passage}"), ("rewrite", "Rewrite: {passage}")]
 REFUSED = "(?i)not stated in the context"
 SYSTEM = "Answer from the context only."
@@ -116,6 +120,28 @@ def sft_pairs(spark, d):  # noqa: ANN001, ANN201
     return rows.filter((F.length("question") >= 10) & (F.length("answer") >= 2)).select("row_id", F.md5("question").alias("question_md5"), F.md5("answer").alias("answer_md5"))
 
 
+def _stub():  # noqa: ANN202
+    """A model's stand-in: the first try of every other prompt fails, the reply is a hash of prompt and copy."""
+    import hashlib
+
+    seen = set()
+
+    def call(prompt, copy):  # noqa: ANN001, ANN202
+        key = (prompt, copy)
+        if len(prompt) % 2 and key not in seen:
+            seen.add(key)
+            raise TimeoutError("no reply")
+        return hashlib.md5(f"{copy}|{prompt}".encode()).hexdigest()
+
+    return call
+
+
+def model_replies(spark, d):  # noqa: ANN001, ANN201
+    """Four replies to each question of an injected model that fails now and then."""
+    rows = pairs(spark, d).select("row_id", "question")
+    return replies(rows, "row_id", "question", _stub, copies=4, first_pause=0.0).select("row_id", "copy", "reply", "error")
+
+
 def sft_missing(spark, d):  # noqa: ANN001, ANN201
     return pairs(spark, d).select("row_id").join(sft_pairs(spark, d).select("row_id"), "row_id", "left_anti")
 
@@ -152,7 +178,7 @@ def _length():  # noqa: ANN202
 
 
 def gate_length(spark, d):  # noqa: ANN001, ANN201
-    return pairs(spark, d).select("row_id", _length().alias("n_tokens")).filter("n_tokens <= 160")
+    return pairs(spark, d).select("row_id", _length().alias("n_tokens")).filter(F.col("n_tokens") <= LONGEST)
 
 
 def gate_cosine(spark, d):  # noqa: ANN001, ANN201
@@ -188,14 +214,14 @@ def _sequences(spark, d):  # noqa: ANN001, ANN202
 
 
 def loss_mask(spark, d):  # noqa: ANN001, ANN201
-    ids, mask = I.masked(F.col("prompt"), F.col("answer"), 256)
-    rows = _sequences(spark, d).filter(F.size("prompt") + F.size("answer") <= 256).select("row_id", ids.alias("ids"), mask.alias("mask"))
+    ids, mask = I.masked(F.col("prompt"), F.col("answer"), LONGEST)
+    rows = _sequences(spark, d).filter(F.size("prompt") + F.size("answer") <= LONGEST).select("row_id", ids.alias("ids"), mask.alias("mask"))
     return rows.select("row_id", F.md5(F.array_join("ids", " ")).alias("ids_md5"), F.aggregate("mask", F.lit(0), lambda a, b: a + b).alias("n_loss"), F.array_position("mask", 1).alias("first_loss"))
 
 
 def sft_labels(spark, d):  # noqa: ANN001, ANN201
-    ids, mask = I.masked(F.col("prompt"), F.col("answer"), 256)
-    rows = _sequences(spark, d).filter(F.size("prompt") + F.size("answer") <= 256).select("row_id", ids.alias("ids"), mask.alias("mask"))
+    ids, mask = I.masked(F.col("prompt"), F.col("answer"), LONGEST)
+    rows = _sequences(spark, d).filter(F.size("prompt") + F.size("answer") <= LONGEST).select("row_id", ids.alias("ids"), mask.alias("mask"))
     labels = F.zip_with("ids", "mask", lambda i, m: F.when(m == 1, i).otherwise("-100"))
     return rows.select("row_id", F.md5(F.array_join(labels, " ")).alias("labels_md5"))
 
@@ -213,7 +239,7 @@ def sft_report(spark, d):  # noqa: ANN001, ANN201
 def pref_prompts(spark, d):  # noqa: ANN001, ANN201
     rows = table(spark, d, "chat_rows", "row_id", "messages").filter("messages is not null")
     rows = rows.select("row_id", F.coalesce(I.role(F.col("messages"), "system"), F.lit(SYSTEM)).alias("system"), I.role(F.col("messages"), "user").alias("user")).filter("user is not null")
-    first = rows.orderBy(S.hashed_key("pref", "row_id"), "row_id").limit(50)
+    first = rows.orderBy(S.hashed_key("pref", "row_id"), "row_id").limit(PROMPTS)
     return first.withColumn("pid", F.row_number().over(Window.orderBy(S.hashed_key("pref", "row_id"), "row_id"))).select("pid", "row_id", F.md5("system").alias("system_md5"), F.md5("user").alias("user_md5"))
 
 
@@ -271,7 +297,7 @@ def _dpo(spark, d):  # noqa: ANN001, ANN202
     prompt = F.concat(F.array(F.lit("<bos>"), F.lit("<user>")), T.tokens(F.col("user")), F.array(F.lit("<assistant>")))
     end = lambda c: F.concat(T.tokens(F.col(c)), F.array(F.lit("<eos>")))
     rows = _best(spark, d).join(users, "pid").select("pid", F.size(prompt).alias("n_prompt"), F.concat(prompt, end("ct")).alias("chosen"), F.concat(prompt, end("rt")).alias("rejected"))
-    return rows.filter((F.size("chosen") <= 256) & (F.size("rejected") <= 256))
+    return rows.filter((F.size("chosen") <= LONGEST) & (F.size("rejected") <= LONGEST))
 
 
 def dpo_sequences(spark, d):  # noqa: ANN001, ANN201
@@ -287,7 +313,7 @@ def dpo_collate(spark, d):  # noqa: ANN001, ANN201
 QUERIES = {
     f.__name__: f
     for f in (
-        sft_targets, sft_sample, sft_chunk, sft_tasks, sft_passage_report, sft_prompt, sft_temperature, json_salvage, sft_pairs, sft_missing, judge_listing, judge_join, gate_judge, gate_grounding,
+        sft_targets, sft_sample, sft_chunk, sft_tasks, sft_passage_report, sft_prompt, sft_temperature, json_salvage, sft_pairs, model_replies, sft_missing, judge_listing, judge_join, gate_judge, gate_grounding,
         gate_length, gate_cosine, gate_decontam, sft_split, chat_rows, loss_mask, sft_labels, sft_report, pref_prompts, pref_candidates, pref_best_worst, pref_verify, pref_degenerate, pref_split,
         pref_report, dpo_sequences, dpo_collate,
     )
@@ -334,10 +360,10 @@ cands AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY
 BEST = f"""{CANDS}, r AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY score DESC, i) AS hi, row_number() OVER (PARTITION BY pid ORDER BY score, i) AS lo FROM cands),
 best AS (SELECT x.pid, x.row_id AS chosen, y.row_id AS rejected, x.score AS chosen_score, y.score AS rejected_score, x.c AS ct, y.c AS rt FROM r x JOIN r y ON x.pid IS NOT DISTINCT FROM y.pid AND x.hi = 1 AND y.lo = 1 WHERE x.score - y.score >= 2)"""
 SEQ = f"""seq AS (SELECT row_id, list_concat(['<bos>', '<system>'], {sql_tokens(chr(39) + SYSTEM + chr(39))}, ['<user>'], {sql_tokens('user')}, ['<assistant>']) AS p, list_append({sql_tokens('answer')}, '<eos>') AS a FROM pairs),
-fit AS (SELECT *, 256 - len(p) - len(a) AS pad FROM seq WHERE len(p) + len(a) <= 256)"""
+fit AS (SELECT *, {LONGEST} - len(p) - len(a) AS pad FROM seq WHERE len(p) + len(a) <= {LONGEST})"""
 DPO = f"""users AS (SELECT pid, arg_min(user, row_id) AS user FROM pairs GROUP BY pid),
 pr AS (SELECT best.pid, list_concat(['<bos>', '<user>'], {sql_tokens('user')}, ['<assistant>']) AS p, list_append({sql_tokens('ct')}, '<eos>') AS c, list_append({sql_tokens('rt')}, '<eos>') AS r FROM best JOIN users USING (pid)),
-dpo AS (SELECT pid, len(p) AS np, list_concat(p, c) AS chosen, list_concat(p, r) AS rejected FROM pr WHERE len(p) + len(c) <= 256 AND len(p) + len(r) <= 256)"""
+dpo AS (SELECT pid, len(p) AS np, list_concat(p, c) AS chosen, list_concat(p, r) AS rejected FROM pr WHERE len(p) + len(c) <= {LONGEST} AND len(p) + len(r) <= {LONGEST})"""
 RAW = f"""j AS (SELECT row_id, question, answer FROM pairs WHERE row_id % 4 IN (0, 1)), tidy AS (SELECT row_id, {sql_collapsed('question')} AS q, {sql_collapsed('answer')} AS a FROM j), good AS (SELECT * FROM tidy WHERE length(q) >= 10 AND length(a) >= 2)"""
 
 
@@ -355,12 +381,13 @@ SQL = {
     "sft_temperature": "SELECT DISTINCT pid, round_even(0.75::DOUBLE + 0.35::DOUBLE * ((pid * 7919) % 100) / 100, 6) AS temperature FROM chat_rows WHERE pid IS NOT NULL",
     "json_salvage": f"WITH {PAIRS_SQL} SELECT row_id, row_id % 4 IN (0, 1) AS parsed FROM pairs",
     "sft_pairs": f"WITH {PAIRS_SQL}, {RAW} SELECT row_id, md5(q) AS question_md5, md5(a) AS answer_md5 FROM good",
+    "model_replies": f"WITH {PAIRS_SQL} SELECT row_id, CAST(k AS INTEGER) AS copy, md5(k || '|' || question) AS reply, CAST(NULL AS VARCHAR) AS error FROM pairs, range(4) r(k)",
     "sft_missing": f"WITH {PAIRS_SQL}, {RAW} SELECT row_id FROM pairs WHERE row_id NOT IN (SELECT row_id FROM good)",
     "judge_listing": f"WITH {PAIRS_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY row_id) AS i FROM pairs) SELECT pid, count(*) AS n, md5(string_agg(i || '. ' || question, chr(10) ORDER BY i)) AS listing_md5 FROM r GROUP BY pid",
     "judge_join": f"WITH {JUDGED} SELECT row_id, CASE WHEN row_id % 3 <> 0 THEN score ELSE 0 END AS score, md5(CASE WHEN row_id % 3 <> 0 THEN substr(answer, 1, 200) ELSE '' END) AS reason_md5 FROM judged",
     "gate_judge": f"WITH {JUDGED} SELECT row_id FROM judged WHERE score >= 4",
     "gate_grounding": f"WITH {PAIRS_SQL}, {GROUND.format('pairs')} SELECT row_id, grounding FROM built",
-    "gate_length": f"WITH {PAIRS_SQL} SELECT row_id, CAST(n AS INTEGER) AS n_tokens FROM (SELECT row_id, {LENGTH} AS n FROM pairs) WHERE n <= 160",
+    "gate_length": f"WITH {PAIRS_SQL} SELECT row_id, CAST(n AS INTEGER) AS n_tokens FROM (SELECT row_id, {LENGTH} AS n FROM pairs) WHERE n <= {LONGEST}",
     "gate_decontam": f"WITH {PAIRS_SQL}, {EVAL}, w AS (SELECT row_id, regexp_extract_all(lower(question || ' ' || answer), '[a-z0-9]+') AS w FROM pairs), g AS (SELECT row_id, unnest({sql_grams('w', 13)}) AS gram FROM w WHERE len(w) >= 13) SELECT row_id FROM pairs WHERE row_id NOT IN (SELECT row_id FROM g WHERE gram IN (SELECT gram FROM eg))",
     "gate_cosine": f"""WITH RECURSIVE {PAIRS_SQL}, t AS (SELECT row_id, {sql_collapsed("lower(question || ' ' || answer)")} AS t FROM pairs),
 g AS (SELECT row_id, unnest(list_transform(range(1, length(t) - 2), lambda i: substr(md5(substr(t, i, 4)), 1, 3))) AS k FROM t WHERE length(t) >= 4),
@@ -374,7 +401,7 @@ gone AS (SELECT unnest(gone) AS id FROM (SELECT gone FROM walk ORDER BY rn DESC
     "loss_mask": f"WITH {PAIRS_SQL}, {SEQ} SELECT row_id, md5(array_to_string(list_concat(p, a, list_transform(range(pad), lambda i: '<pad>')), ' ')) AS ids_md5, CAST(len(a) AS INTEGER) AS n_loss, CAST(len(p) + 1 AS BIGINT) AS first_loss FROM fit",
     "sft_labels": f"WITH {PAIRS_SQL}, {SEQ} SELECT row_id, md5(array_to_string(list_concat(list_transform(p, lambda x: '-100'), a, list_transform(range(pad), lambda i: '-100')), ' ')) AS labels_md5 FROM fit",
     "sft_report": f"WITH {JUDGED}, j4 AS (SELECT * FROM judged WHERE score >= 4), {GROUND.format('j4')} SELECT coalesce(task, '') AS task, coalesce(source, '') AS source, coalesce(type, '') AS type, count(*) AS n, round_even(avg({LENGTH}), 3) AS avg_tokens FROM built GROUP BY GROUPING SETS ((task), (source), (type), ())",
-    "pref_prompts": f"WITH r AS (SELECT row_id, coalesce({sql_role('system')}, '{SYSTEM}') AS system, {sql_role('user')} AS user FROM chat_rows WHERE messages IS NOT NULL), k AS (SELECT *, row_number() OVER (ORDER BY md5('pref|' || row_id), row_id) AS pid FROM r WHERE user IS NOT NULL) SELECT CAST(pid AS INTEGER) AS pid, row_id, md5(system) AS system_md5, md5(user) AS user_md5 FROM k WHERE pid <= 50",
+    "pref_prompts": f"WITH r AS (SELECT row_id, coalesce({sql_role('system')}, '{SYSTEM}') AS system, {sql_role('user')} AS user FROM chat_rows WHERE messages IS NOT NULL), k AS (SELECT *, row_number() OVER (ORDER BY md5('pref|' || row_id), row_id) AS pid FROM r WHERE user IS NOT NULL) SELECT CAST(pid AS INTEGER) AS pid, row_id, md5(system) AS system_md5, md5(user) AS user_md5 FROM k WHERE pid <= {PROMPTS}",
     "pref_candidates": f"WITH {CANDS} SELECT pid, CAST(i AS INTEGER) AS i, row_id, md5(c) AS text_md5 FROM cands",
     "pref_best_worst": f"WITH {BEST} SELECT pid, chosen, rejected, chosen_score, rejected_score FROM best",
     "pref_verify": f"WITH {BEST} SELECT pid, chosen, rejected FROM best WHERE CASE WHEN {sql_digit('flip', 2, 'pid')} = 1 THEN {sql_digit('winner', 3, 'pid')} = 1 ELSE {sql_digit('winner', 3, 'pid')} = 0 END",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusmill.operators import metrics as M
+from corpusmill.plans.instruct import PAIRS_SQL, pairs
 from corpusmill.sources.tables import table
 
 PI = "3.141592653589793::DOUBLE"
@@ -78,11 +79,23 @@ def quality_verdict(spark, d):  # noqa: ANN001, ANN201
     return rows.select("event_type", F.bround("r", 4).alias("ratio"), M.quality_verdict(F.col("r")).alias("verdict"))
 
 
+def run_cutoff(spark, d):  # noqa: ANN001, ANN201
+    """The steps of each run until 97 % of a cap is used up."""
+    return M.until_spent(_losses(spark, d), ["event_type"], "event_id", F.floor(F.col("loss") * 1000).cast("bigint"), 0.97 * 200_000).select("event_type", "event_id")
+
+
+def usage_totals(spark, d):  # noqa: ANN001, ANN201
+    """Estimated tokens that went to and came from the models, by task."""
+    est = lambda c: F.ceil(F.length(c) / 4.0)
+    rows = pairs(spark, d).select("task", est("user").alias("i"), est("answer").alias("o"))
+    return rows.groupBy("task").agg(F.count("*").alias("n_calls"), F.sum("i").alias("tokens_in"), F.sum("o").alias("tokens_out"))
+
+
 def param_count(spark, d):  # noqa: ANN001, ANN201
     return spark.createDataFrame([(h, M.parameter_count(16384, h, 2048, 12, 12, 12)) for h in (384, 768, 1536)], "hidden int, params bigint")
 
 
-QUERIES = {f.__name__: f for f in (dpo_logps, dpo_loss, lr_schedule_tokens, lr_schedule_steps, perplexity, loss_batch_mean, loss_token_mean, best_checkpoint, bench_summary, quality_verdict, param_count)}
+QUERIES = {f.__name__: f for f in (dpo_logps, dpo_loss, lr_schedule_tokens, lr_schedule_steps, perplexity, loss_batch_mean, loss_token_mean, best_checkpoint, bench_summary, quality_verdict, run_cutoff, usage_totals, param_count)}
 
 SCORES = "scores AS (SELECT vec_id, list_sum(list_transform(range(1, len(embedding)), lambda i: CASE WHEN i + 1 > len(embedding) / 2.0 THEN -abs(CAST(embedding[i] AS DOUBLE)) ELSE 0.0::DOUBLE END)) AS logp FROM embeddings)"
 LOSSES = "losses AS (SELECT event_id, event_type, event_id % 50 AS batch, value / 100 AS loss FROM events WHERE value IS NOT NULL)"
@@ -100,5 +113,7 @@ m AS (SELECT q, 0.1::DOUBLE * ((a - c) - (b - d)) AS m FROM q WHERE a IS NOT NUL
     "best_checkpoint": f"WITH {LOSSES}, b AS (SELECT event_type, batch, round_even(avg(loss), 6) AS loss FROM losses GROUP BY ALL), w AS (SELECT *, min(loss) OVER (PARTITION BY event_type ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM b) SELECT event_type, batch, loss FROM w WHERE before IS NULL OR loss < before",
     "bench_summary": f"WITH {LOSSES}, b AS (SELECT event_type, count(*) AS n, round_even(median(loss), 6) AS median_s, round_even(stddev_pop(loss), 6) AS stdev_s FROM losses GROUP BY event_type) SELECT event_type, n, median_s, stdev_s, round_even(max(median_s) OVER () / nullif(median_s, 0), 4) AS speedup FROM b",
     "quality_verdict": f"WITH {LOSSES}, {TOKEN}, r AS (SELECT event_type, loss / nullif(min(loss) OVER (), 0) AS ratio FROM t) SELECT event_type, round_even(ratio, 4) AS ratio, CASE WHEN ratio < 1.10 THEN 'OK' WHEN ratio < 2.0 THEN 'DEGRADED' ELSE 'BROKEN' END AS verdict FROM r",
+    "run_cutoff": f"WITH {LOSSES}, w AS (SELECT event_type, event_id, coalesce(sum(CAST(floor(loss * 1000) AS BIGINT)) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent FROM losses) SELECT event_type, event_id FROM w WHERE spent < 194000",
+    "usage_totals": f"WITH {PAIRS_SQL} SELECT task, count(*) AS n_calls, CAST(sum(ceil(length(user) / 4.0)) AS BIGINT) AS tokens_in, CAST(sum(ceil(length(answer) / 4.0)) AS BIGINT) AS tokens_out FROM pairs GROUP BY task",
     "param_count": "SELECT CAST(h AS INTEGER) AS hidden, CAST(16384 * h + 12 * (2 * h * h + 2 * h * (12 * (h // 12)) + 3 * h * 2048 + 2 * h) AS BIGINT) AS params FROM (VALUES (384), (768), (1536)) v(h)",
 }

@@ -10,6 +10,8 @@ from corpusmill.operators import sampling as S
 from corpusmill.operators import vocabulary as V
 from corpusmill.operators.running import global_rank
 from corpusmill.plans.cleaning import DOCS, docs, sql_collapsed
+from corpusmill.plans.dedup import RAW, raw
+from corpusmill.session import checkpointed
 
 SIZE = 256
 
@@ -37,9 +39,9 @@ def token_index(spark, d):  # noqa: ANN001, ANN201
 
 def window_locate(spark, d):  # noqa: ANN001, ANN201
     files = _windows(spark, d).groupBy(F.concat_ws("/", "source", "shard").alias("file")).agg(F.count("*").alias("n"))
-    total = files.agg(F.sum("n").alias("n"))
-    ids = total.select(F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("id"))
-    return P.located(files, ids)
+    files = checkpointed(files)  # an index of a row a file
+    total = files.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    return P.located(files, spark.range(total))
 
 
 def epoch_shard(spark, d):  # noqa: ANN001, ANN201
@@ -50,14 +52,14 @@ def epoch_shard(spark, d):  # noqa: ANN001, ANN201
 
 
 def shard_assign(spark, d):  # noqa: ANN001, ANN201
-    return docs(spark, d).select("doc_id", F.pmod("doc_id", F.lit(7)).alias("worker"))
+    """The worker of each document: its place in its shard, which starts at 0 in every shard."""
+    return raw(spark, d).select("doc_key", F.pmod("idx", F.lit(7)).alias("worker"))
 
 
 def pretoken_counts(spark, d):  # noqa: ANN001, ANN201
     return docs(spark, d).select(F.explode(T.tokens(F.col("text"))).alias("token")).groupBy(F.md5("token").alias("token_md5")).agg(F.count("*").alias("n"))
 
 
-
 def encode_docs(spark, d):  # noqa: ANN001, ANN201
     out = V.encoded(docs(spark, d), "doc_id", "text", eos=50256)
     return out.select("doc_id", F.size("ids").alias("n_ids"), F.md5(F.array_join(F.transform("ids", lambda x: x.cast("string")), " ")).alias("ids_md5"))
@@ -67,7 +69,7 @@ def bpe_roundtrip(spark, d):  # noqa: ANN001, ANN201
     return V.roundtrip(docs(spark, d), "doc_id", "text")
 
 
-def bpe_vocab(spark, d):  # noqa: ANN001, ANN201
+def vocab_usage(spark, d):  # noqa: ANN001, ANN201
     return V.used_vocabulary(docs(spark, d), "text")
 
 
@@ -77,7 +79,7 @@ pos AS (SELECT source, shard, tok, row_number() OVER (PARTITION BY source, shard
 win AS (SELECT source, shard, p // {SIZE} AS win, string_agg(tok, ' ' ORDER BY p) AS s FROM pos GROUP BY ALL HAVING count(*) = {SIZE})"""
 SPLIT = "CASE WHEN win % 100 = 0 THEN 'val' ELSE 'train' END"
 
-QUERIES = {f.__name__: f for f in (pack_windows, split_windows, token_index, window_locate, epoch_shard, shard_assign, pretoken_counts, encode_docs, bpe_roundtrip, bpe_vocab)}
+QUERIES = {f.__name__: f for f in (pack_windows, split_windows, token_index, window_locate, epoch_shard, shard_assign, pretoken_counts, encode_docs, bpe_roundtrip, vocab_usage)}
 
 SQL = {
     "pack_windows": f"WITH {DOCS}, {TOKS}, {WIN} SELECT source, shard, win, md5(s) AS tokens_md5 FROM win",
@@ -85,6 +87,6 @@ SQL = {
     "token_index": f"WITH {DOCS}, {TOKS}, {WIN} SELECT {SPLIT} AS split, count(*) AS windows, count(*) * {SIZE} AS tokens FROM win GROUP BY 1",
     "window_locate": f"WITH {DOCS}, {TOKS}, {WIN}, f AS (SELECT concat_ws('/', source, shard) AS file, win FROM win), r AS (SELECT file, row_number() OVER (ORDER BY file, win) - 1 AS id, row_number() OVER (PARTITION BY file ORDER BY win) - 1 AS o FROM f) SELECT id, file, o AS offset FROM r",
     "epoch_shard": f"WITH {DOCS}, r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('epoch-0|' || doc_id), doc_id) - 1 AS rn, count(*) OVER () AS n FROM docs) SELECT doc_id, rn % 4 AS rank, rn // 4 AS at FROM r WHERE rn < n - n % 4",
-    "shard_assign": f"WITH {DOCS} SELECT doc_id, doc_id % 7 AS worker FROM docs",
+    "shard_assign": f"WITH {RAW} SELECT doc_key, idx % 7 AS worker FROM docs",
     "pretoken_counts": f"WITH {DOCS}, t AS (SELECT unnest(list_filter(string_split({sql_collapsed('text')}, ' '), lambda w: w <> '')) AS token FROM docs) SELECT md5(token) AS token_md5, count(*) AS n FROM t GROUP BY token",
 }

@@ -19,6 +19,7 @@ def build(app: str = "corpusmill", cpus: int | None = None, **conf: str) -> Spar
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEM", "12g"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -29,14 +30,23 @@ def build(app: str = "corpusmill", cpus: int | None = None, **conf: str) -> Spar
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` in the shared checkpoint folder of the cluster.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines share, from ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``; a temporary one is set only where the
-    session names none, which is the case in local tests.
+    Where the session names none, a temporary one is made on a local master, as in tests;
+    on a cluster, whose machines wouldn't share it, that is an error.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
+    return tempfile.mkdtemp(prefix="corpusmill-")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` in the shared checkpoint folder of the cluster."""
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusmill-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -35,6 +35,26 @@ def read_json_lines(spark: SparkSession, path: str, schema: StructType | str | N
     return reader.json(path)
 
 
+def write_report(df: DataFrame, path: str) -> None:
+    """A report of few rows as one file of JSON lines, in place of an earlier one."""
+    df.coalesce(1).write.mode("overwrite").json(path)
+
+
+def append_metrics(df: DataFrame, path: str) -> None:
+    """Metric rows added to a folder of JSON lines; rows may have keys of their own, nulls aren't written."""
+    write_json_lines(df, path, "append")
+
+
+def write_signatures(df: DataFrame, shard: str, path: str) -> None:
+    """MinHash signatures as parquet, a folder a shard; shards written again replace only themselves."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(shard).parquet(path)
+
+
+def read_signatures(spark: SparkSession, path: str) -> DataFrame:
+    """Signatures written before; a filter on their shard reads only its folder."""
+    return spark.read.parquet(path)
+
+
 def windows_to_bytes(df: DataFrame, keys: list[str], ids: str, width: int = 2) -> DataFrame:
     """``keys`` and ``data``: each window's ids as little-endian unsigned numbers of ``width`` bytes."""
     picked = df.select(*keys, F.col(ids).alias("_ids"))

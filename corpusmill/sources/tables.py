@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL = 1_000_000
+LEAST_SPREAD, MOST_SPREAD = 1_000_000, 1 << 30
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores where a scan gives fewer partitions than there are, as a single file of one row group does.
+    """``df`` over all cores where a scan of a few megabytes to MOST_SPREAD gives fewer partitions than there are.
 
-    Large tables, of more files than cores, and small ones are left as they are.
+    A single file of one row group is such a scan. Larger tables are never shuffled here:
+    their row groups make partitions enough, or the session's settings of file partitions do.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size > SMALL and df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if LEAST_SPREAD < size <= MOST_SPREAD and df.rdd.getNumPartitions() < cores else df
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:

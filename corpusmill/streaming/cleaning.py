@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +9,12 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
 from corpusmill.operators import cleaning as C
+from corpusmill.session import shared_folder
 
 
 def folder_of(spark: SparkSession) -> str:
-    """A fresh folder in the cluster's shared one; a local one only where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusmill-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    """A fresh folder in the cluster's shared one."""
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def clean_stream(rows: DataFrame, key: str, text: str) -> DataFrame:

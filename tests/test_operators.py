@@ -61,6 +61,129 @@ def test_greedy_keeps_after_a_dropped_one(spark):
     assert dedup.greedy(links.limit(0)).count() == 0
 
 
+def test_greedy_in_groups_and_links_against_brute_force(spark):
+    rng = random.Random(21)
+    for _ in range(3):
+        sigs = [(i, [rng.randint(0, 2) for _ in range(dedup.BANDS * dedup.BAND_ROWS)]) for i in range(40)]
+        sigs = [(i, [s[b * dedup.BAND_ROWS] for b in range(dedup.BANDS) for _ in range(dedup.BAND_ROWS)] if i % 9 else sigs[0][1]) for i, s in sigs]
+        key = lambda s, b: (b, tuple(s[b * dedup.BAND_ROWS : (b + 1) * dedup.BAND_ROWS]))
+        keys = {i: {key(s, b) for b in range(dedup.BANDS)} for i, s in sigs}
+        head = {i: min(j for j, t in sigs if t == s) for i, s in sigs}
+        df = spark.createDataFrame(sigs, "k bigint, s array<bigint>")
+        got = {r.id: (r.class_id, r.n_links) for r in dedup.class_links(df, "k", "s").collect()}
+        assert got == {i: (head[i], sum(1 for j in set(head.values()) if j != head[i] and keys[j] & keys[i])) for i in keys}
+        kept = []
+        for i in sorted(keys):
+            if not any(keys[i] & keys[j] for j in kept):
+                kept.append(i)
+        members = spark.createDataFrame([(i, str(g)) for i, gs in keys.items() for g in gs], "id bigint, group string")
+        assert {r.id for r in dedup.greedy_in_groups(members).collect()} == set(keys) - set(kept)
+    assert dedup.greedy_in_groups(members.limit(0)).count() == 0
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from corpusmill.functions.arrow import slices
+
+    texts = ["x" * n for n in (5, 0, 400, 9, 9, 9, 100_000, 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])
+    parts = list(slices(batch, 1000))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts
+    assert all(p.num_rows == 1 or p.nbytes <= 1000 for p in parts) and len(parts) < len(texts)
+    assert list(slices(batch.slice(0, 0))) == []
+
+
+def test_model_calls(spark):
+    from corpusmill.operators.calls import Fatal, replies
+
+    def model():
+        tries = Counter()
+
+        def call(prompt, copy):
+            tries[prompt, copy] += 1
+            if prompt == "never" or prompt == "twice" and tries[prompt, copy] < 3:
+                raise TimeoutError("busy")
+            return f"{prompt}-{copy}"
+
+        return call
+
+    df = spark.createDataFrame([(1, "a"), (2, "twice"), (3, "never"), (4, None)], "k bigint, p string").withColumn("copy", F.lit(9)).coalesce(1)
+    got = {(r.k, r["copy"]): (r.reply, r.tries, r.error) for r in replies(df, "k", "p", model, copies=2, tries=3, first_pause=0.0).collect()}
+    assert got[1, 1] == ("a-1", 1, None) and got[2, 0] == ("twice-0", 3, None) and got[3, 0] == (None, 3, "TimeoutError: busy") and got[4, 1] == (None, 0, None) and len(got) == 8
+
+    def broke():
+        def call(prompt, copy):
+            raise Fatal("quota")
+
+        return call
+
+    with pytest.raises(Exception, match="quota"):
+        replies(df, "k", "p", broke, first_pause=0.0).collect()
+    assert replies(df.limit(0), "k", "p", model).count() == 0
+
+
+def test_shards_of_many_files(spark, tmp_path):
+    from corpusmill.sources import shards
+
+    for name, n in (("en/train/part-00001", 3), ("en/train/part-00000", 2), ("en/test/part-00000", 1), ("de/train-00000-of-1", 4)):
+        at = tmp_path / name
+        at.parent.mkdir(parents=True, exist_ok=True)
+        spark.range(n).selectExpr("cast(id as string) as text", "id as idx").toPandas().to_parquet(f"{at}.parquet")
+    files = shards.shard_files(spark, str(tmp_path), "en")
+    assert [f.rsplit("/", 1)[1] for f in files] == ["part-00000.parquet", "part-00001.parquet"]
+    assert len(shards.shard_files(spark, str(tmp_path))) == 3 and len(shards.shard_files(spark, str(tmp_path), split="test")) == 1
+    rows = sorted((r.shard, r.idx, r.text) for r in shards.read_shards(spark, files).collect())
+    assert rows == [("part-00000", i, str(i)) for i in range(2)] + [("part-00001", i, str(i)) for i in range(3)]
+    assert shards.read_shards(spark, files, "text", first=1).count() == 2
+    with pytest.raises(ValueError):
+        shards.read_shards(spark, shards.shard_files(spark, str(tmp_path), "fr"))
+
+
+def test_stores_and_reports(spark, tmp_path):
+    from corpusmill.sources import formats
+
+    sigs = spark.createDataFrame([("a", 1, [1, 2]), ("b", 2, [3])], "shard string, k bigint, sig array<bigint>")
+    formats.write_signatures(sigs, "shard", str(tmp_path / "sigs"))
+    formats.write_signatures(sigs.filter("shard = 'b'").withColumn("k", F.lit(7).cast("bigint")), "shard", str(tmp_path / "sigs"))
+    assert sorted((r.shard, r.k) for r in formats.read_signatures(spark, str(tmp_path / "sigs")).collect()) == [("a", 1), ("b", 7)]
+    for step in (1, 2):
+        formats.append_metrics(spark.createDataFrame([(step, None)], "step int, val double"), str(tmp_path / "metrics"))
+    assert sorted(r.step for r in formats.read_json_lines(spark, str(tmp_path / "metrics")).collect()) == [1, 2]
+    for _ in range(2):
+        formats.write_report(sigs.groupBy("shard").count(), str(tmp_path / "report"))
+    assert formats.read_json_lines(spark, str(tmp_path / "report")).count() == 2
+
+
+def test_large_dictionaries_are_joined(spark, monkeypatch):
+    words = spark.createDataFrame([("alpha",), ("Beta",), (None,)], "word string")
+    line = "alpha beta gamma delta alpha beta alpha beta orange table "
+    rows = [(1, "\n".join(line * 2 + str(i) for i in range(20))), (2, "\n".join("alpha beta " * 6 + f"x{i}" for i in range(20))), (3, None)]
+    df = spark.createDataFrame(rows, "k bigint, t string").withColumn("_key", F.lit(0))
+    read = lambda: {r.k: r.reason for r in cleaning.clean(df, "k", "t", None, words).collect()}
+    monkeypatch.setattr(cleaning, "MOST_REPEATED", 2.0)
+    small = read()
+    monkeypatch.setattr(cleaning, "DICTIONARY_CHARS", 1)
+    assert read() == small == {1: "ocr", 2: "kept", 3: "too_short"}
+
+
+def test_vocabulary_against_the_library(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    from corpusmill.operators import vocabulary
+
+    if not __import__("os").path.exists(vocabulary.DEFAULT_FILE):
+        pytest.skip("no vocabulary here")
+    lib = tokenizers.Tokenizer.from_file(vocabulary.DEFAULT_FILE)
+    lib.encode_special_tokens = True
+    texts = [None, "", "Hi there", "<|endoftext|> x", "é漢🙂" * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "k bigint, t string").withColumn("ids", F.lit(0))
+    want = {i: lib.encode(t or "", add_special_tokens=False).ids + [9] for i, t in enumerate(texts)}
+    assert {r.k: r.ids for r in vocabulary.encoded(df, "k", "t", eos=9).collect()} == want
+    assert all(r.same for r in vocabulary.roundtrip(df, "k", "t").collect())
+    used = {r.id: r.n for r in vocabulary.used_vocabulary(df, "t").collect()}
+    assert used == Counter(x for ids in want.values() for x in ids[:-1])
+
+
 def test_near_duplicates_of_empty_texts_and_copies(spark):
     docs = spark.createDataFrame([(1, ""), (2, None), (3, "a b c d e f"), (4, "a b c d e f"), (5, "u v w x y z")], "k bigint, t string")
     assert sorted(r.id for r in dedup.near_duplicates(docs, "k", "t").collect()) == [2, 4]

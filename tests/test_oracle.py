@@ -35,4 +35,10 @@ def test_same_rows(spark, tiny, con, name):
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.SQL)))
 def test_runs(spark, tiny, name):
-    assert registry.QUERIES[name](spark, tiny).schema.names
+    assert registry.QUERIES[name](spark, tiny).collect()
+
+
+def test_evaluation_overlap_is_there(spark, tiny):
+    folder = tiny.replace("sf0.001", "sf0.01")
+    assert registry.QUERIES["decontam"](spark, folder).count() > 0
+    assert sum(r.contaminated for r in registry.QUERIES["corpus_report"](spark, folder).collect()) > 0
