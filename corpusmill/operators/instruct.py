@@ -12,6 +12,7 @@ from corpusmill.operators.dedup import greedy
 from corpusmill.session import checkpointed
 
 BUCKETS = 4096
+SHARED_DOT = 0.04
 PAIRS = StructType([StructField("pairs", ArrayType(StructType([StructField("question", StringType()), StructField("answer", StringType())])))])
 SCORES = StructType([StructField("scores", ArrayType(StructType([StructField("i", IntegerType()), StructField("score", IntegerType())])))])
 
@@ -50,9 +51,11 @@ def gram_vector(text: Column) -> Column:
 def similar_pairs(df: DataFrame, key: str, text: str, cosine: float) -> DataFrame:
     """``a`` < ``b`` of which the texts' gram vectors have a cosine above ``cosine``.
 
-    Exact: buckets are ordered from rare to common and two vectors that similar share a
-    bucket among the first ones that leave a rest shorter than the threshold, so only
-    those are joined; candidates are then compared in full. The order is a table of
+    Exact: buckets are ordered from rare to common, and a vector's prefix reaches to where
+    what is left of it is shorter than ``cosine - SHARED_DOT``. Up to the end of the
+    shorter of two prefixes all common buckets are in both, and what follows adds no more
+    than that rest, so the prefixes of two vectors as similar must have a dot product of
+    SHARED_DOT. Only pairs that have it are compared in full. The order is a table of
     BUCKETS rows.
     """
     rows = df.select(F.col(key).alias("id"), F.explode(gram_vector(F.col(text))).alias("k")).groupBy("id", "k").agg(F.count("*").cast("double").alias("n"))
@@ -61,8 +64,9 @@ def similar_pairs(df: DataFrame, key: str, text: str, cosine: float) -> DataFram
     often = vec.groupBy("k").agg(F.count("*").alias("df"))
     before = own.orderBy("df", "k").rowsBetween(Window.unboundedPreceding, -1)
     ranked = vec.join(F.broadcast(often), "k").withColumn("rest", 1 - F.coalesce(F.sum(F.col("w") * F.col("w")).over(before), F.lit(0.0)))
-    first = ranked.filter(F.col("rest") >= cosine * cosine - 1e-9).select("id", "k")
-    met = first.select("k", F.col("id").alias("a")).join(first.select("k", F.col("id").alias("b")), "k").filter("a < b").select("a", "b").distinct()
+    first = checkpointed(ranked.filter(F.col("rest") >= max(0.0, cosine - SHARED_DOT) ** 2 - 1e-9).select("id", "k", "w"))
+    met = first.select("k", F.col("id").alias("a"), F.col("w").alias("wa")).join(first.select("k", F.col("id").alias("b"), F.col("w").alias("wb")), "k").filter("a < b")
+    met = met.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("part")).filter(F.col("part") >= min(cosine, SHARED_DOT) - 1e-9).select("a", "b")
     dots = met.join(vec.select(F.col("id").alias("a"), "k", F.col("w").alias("wa")), "a").join(vec.select(F.col("id").alias("b"), "k", F.col("w").alias("wb")), ["b", "k"])
     return dots.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cos")).filter(F.col("cos") > cosine).select("a", "b")
 
