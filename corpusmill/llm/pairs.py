@@ -1,15 +1,18 @@
 """Problem 7: broken prompt and response pairs, each with its defect.
 
-Responses are sorted by text over the whole cluster and each is compared with its
-neighbour: a response that its successor continues in the middle of a word is a shortened
-version. Lengths at which unfinished responses pile up are length limits. The rules for
-copies, refusals, languages and unfinished ends then decide, the neighbours, the prompt's
-longer words and a share over the whole table settling whether a last word is a fragment.
+Responses are sorted by text over the whole cluster, letters before marks, and each is
+compared with its neighbour: a response that its successor continues in the middle of a
+word is a shortened version, and one that another response to the same prompt continues
+at a word's end is too. Lengths at which unfinished responses pile up are length limits.
+The rules for copies, refusals, languages and unfinished ends then decide, the neighbours,
+the prompt's longer words and a share over the whole table settling whether a last word is
+a fragment.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
@@ -17,9 +20,12 @@ from difflib import SequenceMatcher
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.window import Window
 
 from corpusmill.functions import text as T
-from corpusmill.functions.arrow import map_arrow
+from corpusmill.functions.arrow import map_arrow, slices
 from corpusmill.session import checkpointed
 from corpusmill.sources.tables import table
 
@@ -28,7 +34,7 @@ FILLERS = frozenset("n/a na null none nil undefined tbd todo ? - -- --- . .. ...
 CONNECTORS = frozenset(
     "because while but which although and or nor the a an of in to with whereas as at by for from that if when where who whom whose its his her their "
     "each this these those since unless until so than through during under over between into onto upon without within against about besides despite "
-    "toward towards including regarding concerning following across beyond after before is was were are be been being has had have will would".split()
+    "toward towards including regarding concerning following across beyond after before is was were are be been being has had have would".split()
 )
 REFUSAL = re.compile(
     r"(?i)^\W*(?:(?:i[' ]?a?m|we[' ]?a?re)\s+(?:very\s+|truly\s+)?(?:sorry|afraid|unable|not able|not in a position)|(?:my\s+)?apolog\w+|sorry\b|unfortunately\b"
@@ -49,6 +55,7 @@ FUNCTION_WORDS = {
     "nl": "de het een en van in op te met voor niet is aan bij na zonder door",
 }
 LANGUAGES = {lang: frozenset(words.split()) for lang, words in FUNCTION_WORDS.items()}
+SPOKEN = {w: tuple(lang for lang, own in LANGUAGES.items() if w in own) for w in frozenset().union(*LANGUAGES.values())}
 
 WORD = re.compile(r"[^\W_]+")
 LETTERS = re.compile(r"[^\W\d_]+(?:[’'-][^\W\d_]+)*")
@@ -63,8 +70,8 @@ SHORT_WORDS = 4
 
 def script(text: str) -> str:
     """'latin' or the Unicode block name of most letters outside it."""
-    import unicodedata
-
+    if text.isascii():
+        return "latin"
     letters = [c for c in text if c.isalpha()]
     other = [c for c in letters if ord(c) > 0x24F]
     if len(other) * 2 <= len(letters):
@@ -77,12 +84,16 @@ def tongue(text: str) -> str:
     kind = script(text)
     if kind != "latin":
         return kind
-    words = [w.lower() for w in LETTERS.findall(text)]
+    words = LETTERS.findall(text.lower())
     if len(words) < 3:
         return ""
-    shares = {lang: sum(w in own for w in words) / len(words) for lang, own in LANGUAGES.items()}
-    best = max(shares, key=lambda lang: shares[lang])
-    return best if shares[best] >= 0.15 and shares[best] * len(words) >= 1.5 else ""
+    counts = Counter(w for w in words if w in SPOKEN)
+    votes = dict.fromkeys(LANGUAGES, 0)
+    for w, n in counts.items():
+        for lang in SPOKEN[w]:
+            votes[lang] += n
+    best = max(votes, key=lambda lang: votes[lang])
+    return best if votes[best] >= 0.15 * len(words) and votes[best] >= 1.5 else ""
 
 
 def question_of(user: str) -> str:
@@ -100,21 +111,32 @@ def aligned(a: list[str], b: list[str]) -> int:
 
 
 def copies(answer: str, user: str) -> bool:
-    """Whether the answer is the question, or the whole prompt, with at most a few words round it."""
+    """Whether the answer is the question, or the whole prompt, once or more times over, and next to nothing else.
+
+    A few words may stand round it or be changed; words before the question, as 'Please
+    answer', needn't come back.
+    """
     said = [w.lower() for w in WORD.findall(answer)]
     for asked in (question_of(user), user):
-        q = [w.lower() for w in WORD.findall(asked)]
-        if len(q) < 3 or not len(q) * 0.8 <= len(said) <= len(q) * 1.2 + 5:
+        once = [w.lower() for w in WORD.findall(asked)]
+        if len(once) < 3:
             continue
-        enough = lambda same: same >= 0.88 * len(q) and len(said) - same <= max(4, 0.15 * len(q))  # noqa: E731, B023
-        # no alignment has more words in common than the two hold, whatever their order
-        if enough((Counter(q) & Counter(said)).total()) and enough(aligned(q, said)):
-            return True
+        for q in (once, once * max(1, round(len(said) / len(once)))):
+            if not len(q) * 0.75 <= len(said) <= len(q) * 1.2 + 5:
+                continue
+
+            def enough(same: int, q: list[str] = q) -> bool:
+                round_it = same >= 0.88 * len(q) and len(said) - same <= max(4, 0.15 * len(q))
+                return round_it or said[0] in q and same >= 0.75 * len(q) and len(said) - same <= max(1, 0.1 * len(said))
+
+            # no alignment has more words in common than the two hold, whatever their order
+            if enough((Counter(q) & Counter(said)).total()) and enough(aligned(q, said)):
+                return True
     return False
 
 
 def unfinished(answer: str, user: str) -> tuple[str, str]:
-    """('', '') for a finished answer, ('cut', '') for one surely cut, else ('open', last word).
+    """('', '') for a finished answer, ('cut', '') for one surely cut, else ('open', last word), or ('loose', '') if only a full stop is missing.
 
     An answer of more than SHORT_WORDS words is cut where its last word begins a longer word
     of the prompt, unless that is an inflected form of it.
@@ -142,7 +164,7 @@ def unfinished(answer: str, user: str) -> tuple[str, str]:
         follow = {flow[i + 1] for i in range(len(flow) - 1) if flow[i] == before}
         if last not in follow and any(f.startswith(last) for f in follow):
             return "cut", ""
-        return "", ""
+        return "loose", ""
     head = words[-1]
     if len(words) > SHORT_WORDS and len(head) > 1 and last == head.lower():
         longer = [w for w in LETTERS.findall(user) if len(w) > len(head) and w[1:].startswith(head[1:]) and w[0].lower() == head[0].lower()]
@@ -152,85 +174,112 @@ def unfinished(answer: str, user: str) -> tuple[str, str]:
 
 
 def judged(df: DataFrame, key: str, user: str, answer: str, kind: str) -> DataFrame:
-    """What the rules say of each row: ``defect`` ('' for none yet), ``last``, ``answer`` and ``asked``, the prompt's hash."""
+    """What the rules say of each row: ``defect`` ('' for none yet), ``loose``, ``last``, ``answer`` and ``asked``, the prompt's hash.
+
+    ``last`` is the last word of an answer whose end is open; ``loose`` tells answers that end on a word of the prompt, without a stop.
+    """
 
     def make() -> Callable[[pa.RecordBatch], dict]:
-        def judge(u: str | None, a: str | None, k: str | None) -> tuple[str, str]:
+        def judge(u: str | None, a: str | None, k: str | None) -> tuple[str, str, bool]:
             if a is None or not a.strip("​﻿ \t\r\n\xa0") or not a.strip() or a.strip().lower() in FILLERS or not any(c.isalnum() for c in a):
-                return "empty", ""
+                return "empty", "", False
             u = u or ""
             if copies(a, u):
-                return "copies_question", ""
+                return "copies_question", "", False
             mine = tongue(a)
-            if mine and mine != "en" or not mine and script(a) != "latin":
+            if mine:
                 theirs = tongue(u)
                 if theirs and mine != theirs:
-                    return "other_language", ""
+                    return "other_language", "", False
             if REFUSAL.search(a) or len(a) < 300 and REFUSAL_CORE.search(a):
-                return ("", "") if k == "unanswerable" else ("refusal", "")
+                return "" if k == "unanswerable" else "refusal", "", False
             state, last = unfinished(a, u)
-            return ("truncated", "") if state == "cut" else ("", last)
+            return "truncated" if state == "cut" else "", last, state == "loose"
 
         def work(batch: pa.RecordBatch) -> dict:
             found = [judge(u, a, k) for u, a, k in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)))]
-            return {"k": batch.column(0), "defect": [d for d, _ in found], "last": [w or None for _, w in found], "answer": batch.column(2), "asked": batch.column(4)}
+            return {"k": batch.column(0), "defect": [f[0] for f in found], "last": [f[1] or None for f in found], "loose": [f[2] for f in found], "answer": batch.column(2), "asked": batch.column(4)}
 
         return work
 
     t = df.select(F.col(key)).schema[0].dataType.simpleString()
-    picked = df.select(F.col(key).alias("k"), F.col(user).alias("u"), F.col(answer).alias("a"), F.col(kind).alias("t"), F.xxhash64(user).alias("asked"))
-    return map_arrow(picked, make, f"k {t}, defect string, last string, answer string, asked bigint")
+    picked = df.select(F.col(key).alias("k"), F.col(user).alias("u"), F.col(answer).alias("a"), F.col(kind).alias("t"), F.when(F.col(user).isNotNull(), F.xxhash64(user)).alias("asked"))
+    return map_arrow(picked, make, f"k {t}, defect string, last string, loose boolean, answer string, asked bigint")
 
 
-def shortened(answers: DataFrame) -> DataFrame:
-    """Of distinct ``answer`` texts, those the next text in sorted order continues mid-word.
+def sorted_neighbours(texts: DataFrame, columns: list[str]) -> DataFrame:
+    """The ``columns`` of each row and ``following``, the answer of the next row in order.
 
-    The texts are range-partitioned and sorted; each partition keeps its first text, and a
-    partition's last text is compared with the first of the next one through a table with
-    a row a partition.
+    The rows are distinct and range-partitioned by their last column, or by both: a prompt
+    and then the answer, in which letters and digits come before other characters, so that
+    of all texts that go on from one, those that do so inside a word come next to it. A
+    partition's last row meets the next partition's first through a table of a row each.
     """
-    parts = max(2, int(answers.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = answers.select("answer").distinct().repartitionByRange(parts, "answer").sortWithinPartitions("answer")
-
-    def rows_of(part: int, roles: list[str], texts: list[str]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([part] * len(roles), pa.int32()), pa.array(roles, pa.string()), pa.array(texts, pa.string())], ["part", "role", "answer"])
+    parts = max(2, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    order = F.regexp_replace("answer", r"([^\p{L}\p{N}])", "\ufffd$1")
+    rows = texts.select(*columns).distinct().withColumn("_o", order)
+    by = [*columns[:-1], "_o"]
+    ordered = rows.repartitionByRange(parts, *by).sortWithinPartitions(*by).drop("_o")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ordered.schema)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        at, before, out, first = TaskContext.get().partitionId(), None, [], None
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if before is None:
-                    first = text
-                elif len(text) > len(before) and text.startswith(before) and text[len(before)].isalnum() and before[-1:].isalnum():
-                    out.append(before)
-                before = text
-            yield rows_of(at, ["short"] * len(out), out)
-            out = []
+        at, before, first = TaskContext.get().partitionId(), None, True
+        for batch in (x for b in batches for x in slices(b)):
+            own = list(zip(*(c.to_pylist() for c in batch.columns)))
+            pairs = list(zip([before, *own[:-1]] if before is not None else own[:-1], own if before is not None else own[1:]))
+            out = [(*a, b[-1], at, "pair") for a, b in pairs if a[:-1] == b[:-1] and a[-1] and b[-1].startswith(a[-1])]
+            out += [(*own[0], None, at, "first")] if first else []
+            before, first = own[-1], False
+            yield rows_of(out)
         if before is not None:
-            yield rows_of(at, ["first", "last"], [first, before])
-
-    rows = checkpointed(ordered.mapInArrow(compare, "part int, role string, answer string"))
-    ends = rows.filter("role <> 'short'")
-    # empty partitions leave gaps: the next first text is the smallest one above
-    firsts = sorted((r.part, r.answer) for r in ends.filter("role = 'first'").collect())
-    lasts = ends.filter("role = 'last'").collect()
-    more = []
-    for r in lasts:
-        later = [a for p, a in firsts if p > r.part][:1]
-        if later and later[0].startswith(r.answer) and len(later[0]) > len(r.answer) and later[0][len(r.answer)].isalnum():
-            more.append((r.answer,))
-    found = rows.filter("role = 'short'").select("answer")
-    return found.unionByName(answers.sparkSession.createDataFrame(more, "answer string")) if more else found
-
-
-def length_limits(rows: DataFrame, least: int = 30, times: float = 6.0) -> DataFrame:
-    """Lengths at which unfinished answers pile up: ``size`` of at least ``least`` and ``times`` the mean of the ten lengths round it."""
+            yield rows_of([(*before, None, at, "last")])
+
+    target = to_arrow_schema(_parse_datatype_string(f"{kinds}, following string, part int, role string"))
+
+    def rows_of(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(target)], schema=target)
+
+    met = checkpointed(ordered.mapInArrow(compare, f"{kinds}, following string, part int, role string"))
+    # a row a partition; empty partitions leave gaps
+    ends = met.filter("role <> 'pair'").withColumn("next", F.lead(F.struct(*columns)).over(Window.orderBy("part", "role")))
+    on = [F.col("next")[c].eqNullSafe(F.col(c)) for c in columns[:-1]]
+    across = ends.filter(F.col("role") == "last").filter(F.startswith(F.col("next.answer"), F.col("answer")))
+    for c in on:
+        across = across.filter(c)
+    found = met.filter("role = 'pair'").select(*columns, "following")
+    return found.unionByName(across.select(*columns, F.col("next.answer").alias("following")))
+
+
+def shortened(answers: DataFrame) -> DataFrame:
+    """``answer`` texts that some other answer goes on from inside a word, and ``longer``, whether that isn't an inflected form of its last word.
+
+    ``longer`` is told of answers of more than SHORT_WORDS words only.
+    """
+    met = sorted_neighbours(answers, ["answer"]).filter(F.length("following") > F.length("answer")).withColumn("rest", F.expr("substr(following, length(answer) + 1)"))
+    met = met.filter(F.col("rest").rlike(r"^[\p{L}\p{N}]") & F.col("answer").rlike(r"[\p{L}\p{N}]$"))
+    longer = ~F.col("rest").rlike(rf"^{INFLECTION.pattern}(?:[^\p{{L}}\p{{N}}]|$)") & (F.size(F.split("answer", r"\s+")) > SHORT_WORDS)
+    return met.groupBy("answer").agg(F.max(longer).alias("longer"))
+
+
+def shortened_for_prompt(answers: DataFrame) -> DataFrame:
+    """``asked`` and ``answer`` of more than SHORT_WORDS words from which another answer to the same prompt goes on with a further word."""
+    goes_on = F.substring("following", F.length("answer") + 1, F.lit(2)).rlike(r"^\s?[\p{L}\p{N}]") & (F.size(F.split("answer", r"\s+")) > SHORT_WORDS)
+    return sorted_neighbours(answers, ["asked", "answer"]).filter(goes_on).select("asked", "answer").distinct()
+
+
+def length_limits(rows: DataFrame, times: float = 6.0, deviations: float = 8.0) -> DataFrame:
+    """Lengths at which unfinished answers pile up: ``size`` met ``times`` as often as the mean of the ten lengths round it.
+
+    The surplus must also be ``deviations`` times what chance makes of such a mean, so the
+    rule asks for the same evidence at every size of the table.
+    """
     sizes = rows.filter("last is not null").groupBy(F.length("answer").alias("size")).agg(F.count("*").alias("n"))
     near = sizes.select(F.explode(F.sequence(F.col("size") - 5, F.col("size") + 5)).alias("size"), F.col("n").alias("m"), F.col("size").alias("other"))
     mean = near.filter("size <> other").groupBy("size").agg((F.sum("m") / 10).alias("mean"))
-    return sizes.join(mean, "size", "left").filter((F.col("n") >= least) & (F.col("n") > times * F.coalesce("mean", F.lit(0.0)))).select("size")
+    usual = F.coalesce("mean", F.lit(0.0))
+    return sizes.join(mean, "size", "left").filter((F.col("n") > times * usual) & (F.col("n") - usual > deviations * F.sqrt(usual + 1))).select("size")
 
 
 def finished_words(texts: DataFrame, open_rows: DataFrame) -> DataFrame:
@@ -257,12 +306,15 @@ def defects(df: DataFrame, key: str, user: str, answer: str, kind: str) -> DataF
     """
     rows = checkpointed(judged(df, key, user, answer, kind))
     texts = df.select(F.col(user).alias("t")).unionByName(rows.filter("defect = ''").select(F.col("answer").alias("t")))
-    open_rows = rows.filter("last is not null").withColumn("size", F.length("answer"))
-    known = finished_words(texts, open_rows).withColumn("known", F.lit(True))
-    short = shortened(rows.filter("answer is not null and defect = ''")).withColumn("short", F.lit(True))
+    known = finished_words(texts, rows.filter("last is not null")).withColumn("known", F.lit(True))
+    sound = rows.filter("answer is not null and defect = ''")
+    short = shortened(sound).select("answer", F.lit(True).alias("short"), "longer")
+    version = shortened_for_prompt(sound.filter("asked is not null")).withColumn("version", F.lit(True))
     limit = length_limits(rows).withColumn("limit", F.lit(True))
-    settled = open_rows.join(known, "last", "left").join(short, "answer", "left").join(limit, "size", "left")
-    cut = settled.filter(F.col("known").isNull() | F.col("short") | F.col("limit")).select("k", F.lit("truncated").alias("defect"))
+    ends = rows.filter("last is not null or loose").withColumn("size", F.length("answer"))
+    settled = ends.join(known, "last", "left").join(short, "answer", "left").join(version, ["asked", "answer"], "left").join(limit, "size", "left")
+    cut = F.when(F.col("loose"), F.col("longer") | F.col("version")).otherwise(F.col("known").isNull() | F.col("short") | F.col("version") | F.col("limit"))
+    cut = settled.filter(cut).select("k", F.lit("truncated").alias("defect"))
     return rows.filter("defect <> ''").select("k", "defect").unionByName(cut).select(F.col("k").alias(key), "defect")
 
 
