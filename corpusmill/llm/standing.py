@@ -2,38 +2,41 @@
 
 Each wording's documents are kept as compressed bitmaps, cut into containers of 65,536
 positions: a sorted array of 16-bit positions while sparse, a bit set once dense. Variants
-of a wording (one word lost or changed) meet in the keys that remain when a word is left
-out; their bitmaps are united, and the exact cardinality of the union decides. Lines are
-then deleted by looking their wording up.
-
-Before bitmaps are built, a cheap count keeps only lines that can qualify: a single
-changed word leaves the first or the last three words of a wording whole, so one of the
-two must stand in half the documents the threshold asks for.
+of a wording (one word lost or changed) meet in the ties that remain when a word is left
+out; their bitmaps are united, and exact cardinalities decide. Lines are then deleted by
+looking their wording up.
+
+Before bitmaps are built, a count keeps only wordings that can qualify: a single changed
+word leaves the first or the last half of a wording whole, up to three words, so one of
+the two must stand in half the documents the threshold asks for, in lines or pairs of
+lines of that length or a word more or less.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
-from corpusmill.functions.arrow import map_arrow
+from corpusmill.functions.arrow import map_arrow, slices
 from corpusmill.session import checkpointed
 from corpusmill.sources.tables import table
 
 MIN_DOCS = 5
 MIN_SHARE = 0.4
 EDGE_WORDS = 3
-MIN_WORDS = 3
 VARIANT_WORDS = 4
-BROADCAST_KEYS = 2_000_000
 ORDINAL_BUCKETS = 64
 DENSE = 4096
+#: Bits of the filter for each of its keys, and the least and most of all, as powers of two; the most takes 32 MB.
+FILTER_BITS, FILTER_LEAST, FILTER_MOST = 16, 16, 28
 
 # Month names and their short forms, which stand in filled-in dates.
 MONTHS = "january february march april may june july august september october november december jan feb mar apr jun jul aug sep sept oct nov dec"
@@ -41,7 +44,7 @@ MONTHS = "january february march april may june july august september october no
 
 MONTH_SET = frozenset(MONTHS.split())
 WORD = re.compile(r"[^\W_]+")
-LONG_PAIR = 60
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def wording(line: str) -> list[str]:
@@ -49,78 +52,114 @@ def wording(line: str) -> list[str]:
     return [w for w in WORD.findall(line) if w.isalpha() and w not in MONTH_SET]
 
 
-def edge(host: str, kind: str, words: list[str]) -> int:
-    """The key of a wording's first ('h') or last ('t') three words, with its source."""
-    part = words[:EDGE_WORDS] if kind == "h" else words[-EDGE_WORDS:]
-    h = xxhash.xxh3_64_intdigest(f"{kind}{host}\0{' '.join(part)}")
-    return h - (1 << 64) if h >> 63 else h
+def edge_words(size: int) -> int:
+    """How many words of a wording's beginning or end a single change elsewhere leaves whole: half of it, up to EDGE_WORDS."""
+    return max(1, min(EDGE_WORDS, size // 2))
 
 
-def line_edges(docs: DataFrame) -> DataFrame:
-    """``host`` and ``edge`` of every line's two edges, each once a document."""
+def edges(host: str, first: list[str], last: list[str], size: int) -> list[tuple[int, int]]:
+    """The keys of the (beginning, end) of a wording of ``size`` words with its source.
+
+    A wording that may be one of a word more, of which one is lost, has that one's as well.
+    """
+    out = []
+    for n in {edge_words(size), edge_words(size + 1)}:
+        h = xxhash.xxh3_64_intdigest(f"h{host}\0{' '.join(first[:n])}")
+        t = xxhash.xxh3_64_intdigest(f"t{host}\0{' '.join(last[-n:])}")
+        out.append((h, t))
+    return out
+
+
+def units(text: str, host: str) -> Iterator[tuple[int, int, list[str], list[str], int, list[tuple[int, int]]]]:
+    """(line number, lines, words of the first line, of the second, size, edges) of every line and every two neighbouring lines that aren't blank."""
+    before: list[str] = []
+    for n, line in enumerate(text.lower().split("\n")):
+        words = wording(line)
+        if words:
+            if before:
+                first = before if len(before) >= EDGE_WORDS else before + words
+                last = words if len(words) >= EDGE_WORDS else before + words
+                size = len(before) + len(words)
+                yield n - 1, 2, before, words, size, edges(host, first, last, size)
+            yield n, 1, words, [], len(words), edges(host, words, words, len(words))
+        before = words
+
+
+def edge_counts(docs: DataFrame) -> DataFrame:
+    """``host``, ``edge``, ``size`` and ``n``: the documents that hold each edge in a line, or two lines, of that many words.
+
+    Documents are added up within a batch, so an edge of a large source is few rows.
+    """
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def work(batch: pa.RecordBatch) -> dict:
-            hosts, edges = [], []
-            for host, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                own = set()
-                for line in text.lower().split("\n"):
-                    words = wording(line)
-                    if words:
-                        own.add(edge(host, "h", words))
-                        own.add(edge(host, "t", words))
-                edges.extend(own)
-                hosts.extend([host] * len(own))
-            return {"host": hosts, "edge": edges}
+            seen: Counter[tuple[str, int, int]] = Counter()
+            for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen.update({(host, e, size) for _, _, _, _, size, own in units(text, host) for pair in own for e in pair})
+            keys = list(seen)
+            edge = np.array([k[1] for k in keys], np.uint64).view(np.int64)
+            return {"host": [k[0] for k in keys], "edge": pa.array(edge), "size": pa.array([k[2] for k in keys], pa.int32()), "n": pa.array(list(seen.values()), pa.int64())}
 
         return work
 
-    return map_arrow(docs.select("id", "host", "text"), make, "host string, edge bigint")
+    return map_arrow(docs.select("host", "text"), make, "host string, edge bigint, size int, n bigint")
+
 
+def slots(edge: np.ndarray, size: np.ndarray, bits: int) -> np.ndarray:
+    """The places in a filter of 2**bits bits of edges and sizes."""
+    h = (edge.astype(np.uint64) ^ (size.astype(np.uint64) * MIX)) * MIX
+    return (h >> np.uint64(64 - bits)).astype(np.int64)
 
-def line_units(docs: DataFrame, hot: np.ndarray | None) -> DataFrame:
-    """The wordings of lines and of pairs of neighbouring lines with an edge in ``hot``.
 
-    Without ``hot`` every wording is returned, for a join to decide. A pair is left out
-    where it is long and one of its lines has both edges in ``hot``: it is then that line
-    and a paragraph, not one broken line.
+def edge_filter(usual: DataFrame) -> np.ndarray:
+    """A bit set with the slots of (``edge``, ``size``) rows: FILTER_BITS bits a row, 32 MB at the most.
+
+    It only spares work: what passes it by chance is counted exactly later on. Its parts
+    are made as containers in the tasks, and the driver gets these.
     """
-    shared = None if hot is None else docs.sparkSession.sparkContext.broadcast(np.sort(hot))
-    kind = docs.schema["id"].dataType.simpleString()
+    usual = checkpointed(usual)
+    bits = min(FILTER_MOST, max(FILTER_LEAST, (FILTER_BITS * usual.count()).bit_length()))
 
     def make() -> Callable[[pa.RecordBatch], dict]:
-        among = None if shared is None else set(shared.value.tolist())
-
         def work(batch: pa.RecordBatch) -> dict:
-            out: dict[str, list] = {c: [] for c in ("id", "host", "line_no", "lines", "w", "head", "tail", "size")}
+            at = np.unique(slots(batch.column(0).to_numpy(), batch.column(1).to_numpy(), bits))
+            return {"key": np.zeros(len(at), np.int64), "chunk": (at >> 16).astype(np.int32), "low": (at & 65535).astype(np.int32)}
 
-            def put(i, host, n, lines, words, h, t):  # noqa: ANN001
-                for c, v in zip(out, (i, host, n, lines, " ".join(words), h, t, len(words))):
-                    out[c].append(v)
+        return work
 
+    places = map_arrow(usual.select("edge", "size"), make, "key bigint, chunk int, low int")
+    out = np.zeros(1 << bits, bool)
+    for r in bitmaps(places).select("chunk", "bitmap").toLocalIterator():
+        out[(r.chunk << 16) + unpack(bytes(r.bitmap))] = True
+    return np.packbits(out, bitorder="little")
+
+
+def line_units(docs: DataFrame, usual: np.ndarray) -> DataFrame:
+    """The wordings of lines and of pairs of neighbouring lines of which an edge is in the filter."""
+    shared = docs.sparkSession.sparkContext.broadcast(usual)
+    bits = (len(usual) * 8).bit_length() - 1
+    kind = docs.schema["id"].dataType.simpleString()
+
+    def make() -> Callable[[pa.RecordBatch], dict]:
+        table_ = shared.value
+
+        def work(batch: pa.RecordBatch) -> dict:
+            rows, edge, size, of = [], [], [], []
             for i, host, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                lines = [wording(x) for x in text.lower().split("\n")]
-                ends = [(edge(host, "h", w), edge(host, "t", w)) if w else None for w in lines]
-                whole = [bool(e and among is not None and e[0] in among and e[1] in among) for e in ends]
-                for n, w in enumerate(lines):
-                    if not w:
-                        continue
-                    h, t = ends[n]
-                    if len(w) >= MIN_WORDS and (among is None or h in among or t in among):
-                        put(i, host, n, 1, w, h, t)
-                    v = lines[n + 1] if n + 1 < len(lines) else None
-                    if not v or len(w) + len(v) < MIN_WORDS or len(w) + len(v) > LONG_PAIR and (whole[n] or whole[n + 1]):
-                        continue
-                    both = w + v
-                    h = h if len(w) >= EDGE_WORDS else edge(host, "h", both)
-                    t = ends[n + 1][1] if len(v) >= EDGE_WORDS else edge(host, "t", both)
-                    if among is None or h in among or t in among:
-                        put(i, host, n, 2, both, h, t)
-            return out
+                for n, lines, words, more, total, own in units(text, host):
+                    for h, t in own:
+                        edge += (h, t)
+                        size += (total, total)
+                        of += (len(rows), len(rows))
+                    rows.append((i, host, n, lines, words, more))
+            at = slots(np.array(edge, np.uint64), np.array(size, np.int64), bits) if rows else np.empty(0, np.int64)
+            hit = np.unique(np.array(of, np.int64)[(table_[at >> 3] >> (at & 7).astype(np.uint8) & 1) > 0]) if rows else at
+            kept = [rows[k] for k in hit.tolist()]
+            return {"id": [r[0] for r in kept], "host": [r[1] for r in kept], "line_no": [r[2] for r in kept], "lines": [r[3] for r in kept], "w": [" ".join(r[4] + r[5]) for r in kept], "words": [[len(r[4]), len(r[5])] for r in kept]}
 
         return work
 
-    return map_arrow(docs.select("id", "host", "text"), make, f"id {kind}, host string, line_no int, lines int, w string, head bigint, tail bigint, size int")
+    return map_arrow(docs.select("id", "host", "text"), make, f"id {kind}, host string, line_no int, lines int, w string, words array<int>")
 
 
 def pack(places: np.ndarray) -> bytes:
@@ -156,38 +195,57 @@ def cardinality(data: bytes) -> int:
     return (len(data) - 1) // 2 if data[:1] == b"a" else int(np.unpackbits(np.frombuffer(data, np.uint8, offset=1)).sum())
 
 
-def _grouped(df: DataFrame, merge: Callable[[list], bytes], value: str) -> DataFrame:
-    """Merge ``value`` of the rows of each (key, chunk); a group has at most one row a position."""
+def _grouped(df: DataFrame, merge: Callable[[list], bytes], value: str, most: int) -> DataFrame:
+    """Merge ``value`` of the rows of each (key, chunk), which come sorted and are merged one group at a time.
+
+    A group of more than ``most`` rows is merged in parts, so none is held whole.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple[int, int], list] = {}
-        for batch in batches:
+        at: tuple | None = None
+        parts: list = []
+        done: list[bytes] = []
+
+        def closed() -> bytes:
+            whole = [*done, merge(parts)] if parts else done
+            return whole[0] if len(whole) == 1 else unite(whole)
+
+        for batch in (x for b in batches for x in slices(b)):
+            out: list[tuple[tuple, bytes]] = []
             for k, c, v in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                groups.setdefault((k, c), []).append(v)
-        at = list(groups)
-        for i in range(0, len(at), 20_000):
-            part = at[i : i + 20_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in part], pa.int64()), pa.array([c for _, c in part], pa.int32()), pa.array([merge(groups[g]) for g in part], pa.binary())], ["key", "chunk", "bitmap"]
-            )
+                if (k, c) != at:
+                    if at is not None:
+                        out.append((at, closed()))
+                    at, parts, done = (k, c), [], []
+                elif len(parts) >= most:
+                    done = [unite([*done, merge(parts)])]
+                    parts = []
+                parts.append(v)
+            yield rows_of(out)
+        if at is not None:
+            yield rows_of([(at, closed())])
+
+    def rows_of(out: list[tuple[tuple, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([g[0] for g, _ in out], pa.int64()), pa.array([g[1] for g, _ in out], pa.int32()), pa.array([v for _, v in out], pa.binary())], ["key", "chunk", "bitmap"])
 
-    return df.select("key", "chunk", value).repartition("key", "chunk").mapInArrow(run, "key bigint, chunk int, bitmap binary")
+    ordered = df.select("key", "chunk", value).repartition("key", "chunk").sortWithinPartitions("key", "chunk")
+    return ordered.mapInArrow(run, "key bigint, chunk int, bitmap binary")
 
 
 def bitmaps(places: DataFrame) -> DataFrame:
     """(key, chunk, low) rows to one container each (key, chunk)."""
-    return _grouped(places, lambda v: pack(np.array(v, np.int64)), "low")
+    return _grouped(places, lambda v: pack(np.array(v, np.int64)), "low", 100_000)
 
 
 def united(parts: DataFrame) -> DataFrame:
     """(key, chunk, bitmap) rows to the union of each (key, chunk)."""
-    return _grouped(parts, unite, "bitmap")
+    return _grouped(parts, unite, "bitmap", 500)
 
 
 def cardinalities(maps: DataFrame) -> DataFrame:
     """The exact number of documents in each key's bitmap."""
     count = lambda batches: (
-        pa.RecordBatch.from_arrays([b.column(0), pa.array([cardinality(x) for x in b.column(1).to_pylist()], pa.int64())], ["key", "n"]) for b in batches
+        pa.RecordBatch.from_arrays([b.column(0), pa.array([cardinality(x) for x in b.column(1).to_pylist()], pa.int64())], ["key", "n"]) for x in batches for b in slices(x)
     )
     return maps.select("key", "bitmap").mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -197,8 +255,6 @@ def ordinals(docs: DataFrame) -> DataFrame:
 
     Hosts are numbered in hash buckets with offsets, so that no host is sorted in one task.
     """
-    from pyspark.sql import Window
-
     b = docs.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(ORDINAL_BUCKETS)).cast("int"))
     sizes = b.groupBy("host", "b").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("host").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -208,19 +264,6 @@ def ordinals(docs: DataFrame) -> DataFrame:
     return numbered.select("id", "host", F.shiftright(place, 16).cast("int").alias("chunk"), place.bitwiseAND(65535).cast("int").alias("low"))
 
 
-def either(forms: DataFrame, keys: DataFrame, names: list[str]) -> DataFrame:
-    """The rows of ``forms`` whose head or tail, with the other names, is among ``keys``.
-
-    The keys are broadcast up to a checked number of rows and joined by a shuffle beyond.
-    """
-    small = keys.count() <= BROADCAST_KEYS
-    out = forms
-    for edge in ("head", "tail"):
-        side = keys.withColumnRenamed("edge", edge).withColumn(f"in_{edge}", F.lit(1))
-        out = out.join(F.broadcast(side) if small else side, [edge, *names[1:]], "left")
-    return out.filter("in_head = 1 or in_tail = 1").select(*forms.columns)
-
-
 def variants(vocabulary: DataFrame) -> DataFrame:
     """``key`` and ``tie``: what is left of each wording without one of its words, and the whole.
 
@@ -258,67 +301,94 @@ def variants(vocabulary: DataFrame) -> DataFrame:
     return map_arrow(vocabulary.select("key", "host", "w"), make, "key bigint, tie bigint")
 
 
+def reaching(vocabulary: DataFrame, ties: DataFrame, maps: DataFrame) -> DataFrame:
+    """``key`` of the wordings whose documents, with those of the wordings they share a tie with, are ``need`` or more.
+
+    ``vocabulary`` has key, own and need, ``ties`` only those several wordings share. Ties
+    are united once each. A tie that alone has enough documents decides, and so does too
+    small a sum over a wording's ties; only wordings between the two have their ties
+    united, once for all that have the same ties.
+    """
+    by_tie = checkpointed(united(ties.join(maps, "key").select(F.col("tie").alias("key"), "chunk", "bitmap")).withColumnRenamed("key", "tie"))
+    sizes = cardinalities(by_tie.withColumnRenamed("tie", "key")).withColumnRenamed("key", "tie")
+    about = ties.join(sizes, "tie").groupBy("key").agg(F.max("n").alias("most"), F.sum("n").alias("sum"), F.count("*").alias("k"))
+    judged = checkpointed(vocabulary.join(about.withColumnRenamed("key", "of"), F.col("key") == F.col("of"), "left").select("key", "own", "need", "most", "sum", "k"))
+    sure = judged.filter(F.greatest("own", "most") >= F.col("need"))
+    between = judged.filter((F.coalesce(F.greatest("own", "most"), "own") < F.col("need")) & (F.col("sum") - (F.col("k") - 1) * F.col("own") >= F.col("need")))
+    sets = checkpointed(ties.join(between, "key").groupBy("key", "need").agg(F.sort_array(F.collect_set("tie")).alias("ties")).withColumn("set", F.xxhash64("ties")))
+    once = sets.groupBy("set").agg(F.first("ties").alias("ties")).select("set", F.explode("ties").alias("tie"))
+    both = cardinalities(united(once.join(by_tie, "tie").select(F.col("set").alias("key"), "chunk", "bitmap"))).withColumnRenamed("key", "set")
+    return sure.select("key").unionByName(sets.join(both, "set").filter(F.col("n") >= F.col("need")).select("key"))
+
+
 def standing_lines(df: DataFrame, key: str, host: str, text: str, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
     """``key`` and ``line_no`` of every line with wording of at least ``min_docs`` and ``min_share`` of its host's documents.
 
     Wording is compared without case, spacing, marks, numbers and dates, and with one word
-    lost or changed; a wording broken over two lines counts and both lines are named.
-    Documents with a null text don't count; those of a null host have no host and no such
-    lines. Blank lines and lines of fewer than three words never qualify. Rows repeated
-    under one key count once.
+    lost or changed where it has VARIANT_WORDS or more; a wording broken over two lines
+    counts and both lines are named. Documents with a null text don't count; those of a
+    null host have no host and no such lines. Blank lines and lines without words never
+    qualify. Rows repeated under one key count once.
     """
     docs = df.select(F.col(key).alias("id"), F.col(host).alias("host"), F.col(text).alias("text")).filter("text is not null and host is not null")
     sizes = docs.select("id", "host").distinct().groupBy("host").agg(F.count("*").alias("docs"))
     need = F.greatest(F.lit(min_docs), F.ceil(F.col("docs") * min_share - 1e-9)).cast("long")
     wanted = sizes.filter(F.col("docs") >= min_docs).select("host", need.alias("need"))
-    often = line_edges(docs).groupBy("host", "edge").agg(F.count("*").alias("n")).filter("n >= 3")
-    hot = checkpointed(often.join(wanted, "host").filter(F.col("n") * 2 >= F.col("need")).select("edge"))
-    if hot.count() <= BROADCAST_KEYS:
-        marked = line_units(docs, np.array([r.edge for r in hot.toLocalIterator()], np.int64))
-    else:
-        marked = either(line_units(docs, None), hot, ["edge"])
-    marked = checkpointed(marked)
-
-    # variants of a wording are of its length, or a word longer or shorter, and share its head or its tail
-    lengths = marked.select("id", "host", F.explode(F.array("head", "tail")).alias("edge"), F.explode(F.sequence(F.col("size") - 1, F.col("size") + 1)).alias("size")).distinct()
-    usual = lengths.groupBy("host", "edge", "size").agg(F.count("*").alias("n")).filter("n >= 3")
-    usual = checkpointed(usual.join(wanted, "host").filter(F.col("n") * 2 >= F.col("need")).select("edge", "size"))
-    chosen = checkpointed(either(marked, usual, ["edge", "size"]).select("id", "host", "line_no", "lines", "w", F.xxhash64("host", "w").alias("key")))
+    counted = edge_counts(docs).repartition("edge").groupBy("edge", "size").agg(F.sum("n").alias("n"), F.min("host").alias("host"))
+    near = Window.partitionBy("edge").orderBy("size").rangeBetween(-1, 1)
+    often = counted.withColumn("n", F.sum("n").over(near)).filter(F.col("n") * 2 >= min_docs)
+    usual = edge_filter(often.join(wanted, "host").filter(F.col("n") * 2 >= F.col("need")).select("edge", "size"))
+    chosen = checkpointed(line_units(docs, usual).withColumn("key", F.xxhash64("host", "w")))
 
     places = chosen.select("id", "key").distinct().join(ordinals(docs.select("id", "host").distinct()).drop("host"), "id")
     maps = checkpointed(bitmaps(places))
-    counts = cardinalities(maps).withColumnRenamed("n", "own")
-
-    vocabulary = chosen.groupBy("key").agg(F.first("host").alias("host"), F.first("w").alias("w"))
+    words = chosen.groupBy("key").agg(F.first("host").alias("host"), F.first("w").alias("w"))
+    vocabulary = checkpointed(words.join(wanted, "host").join(cardinalities(maps).withColumnRenamed("n", "own"), "key"))
     ties = variants(vocabulary)
     meeting = ties.groupBy("tie").agg((F.min("key") != F.max("key")).alias("several")).filter("several").select("tie")
     ties = checkpointed(ties.join(meeting, "tie"))
-    by_tie = united(ties.join(maps, "key").select(F.col("tie").alias("key"), "chunk", "bitmap")).withColumnRenamed("key", "tie")
-    around = ties.join(by_tie, "tie").select("key", "chunk", "bitmap").unionByName(maps)
-    reach = cardinalities(united(around)).withColumnRenamed("n", "reach")
+    known = vocabulary.select("key", "own", "need")
+    centre = checkpointed(reaching(known, ties, maps))
 
-    known = vocabulary.select("key", "host").join(wanted, "host").join(counts, "key").join(reach, "key").select("key", "own", (F.col("reach") >= F.col("need")).alias("centre"))
-    known = checkpointed(known)
-    centres = ties.join(known.filter("centre"), "key").groupBy("tie").agg(F.max("own").alias("most"))
+    centres = ties.join(known.join(centre, "key"), "key").groupBy("tie").agg(F.max("own").alias("most"))
     beside = ties.join(centres, "tie").groupBy("key").agg(F.max("most").alias("most"))
-    found = known.join(beside, "key", "left").filter(F.col("centre") | (F.col("most") >= F.col("own"))).select("key")
-    hits = chosen.join(found, "key").select("id", "line_no", "lines")
+    near = known.join(beside.select(F.col("key").alias("of"), "most"), F.col("key") == F.col("of")).filter(F.col("most") >= F.col("own"))
+    found = checkpointed(near.select(F.col("of").alias("found")).unionByName(centre.select(F.col("key").alias("found"))).distinct())
+    hits = checkpointed(chosen.join(found, F.col("key") == F.col("found")).select("id", "line_no", "lines", "words"))
 
     one = hits.filter("lines = 1").select("id", "line_no").distinct()
     whole = one.withColumn("alone", F.lit(1))
-    two = hits.filter("lines = 2").select("id", "line_no").distinct()
-    two = two.join(whole, ["id", "line_no"], "left").filter("alone is null").drop("alone")
-    two = two.join(whole.select("id", (F.col("line_no") - 1).alias("line_no"), "alone"), ["id", "line_no"], "left").filter("alone is null")
+    # a pair is a broken line unless it is one that stands alone and a word beside it
+    two = hits.filter("lines = 2").select("id", "line_no", "words").join(whole, ["id", "line_no"], "left")
+    two = two.join(whole.select("id", (F.col("line_no") - 1).alias("line_no"), F.col("alone").alias("next")), ["id", "line_no"], "left")
+    two = two.filter((F.col("alone").isNull() | (F.col("words")[1] > 1)) & (F.col("next").isNull() | (F.col("words")[0] > 1)))
     both = two.select("id", F.explode(F.array(F.col("line_no"), F.col("line_no") + 1)).alias("line_no"))
     return one.unionByName(both).distinct().select(F.col("id").alias(key), "line_no")
 
 
+@arrow_udf("string")
+def without_lines(texts: pa.Array, gone: pa.Array) -> pa.Array:
+    """Each text without the lines whose numbers are set in its container; a null container takes none."""
+    out = []
+    for t, bits in zip(texts.to_pylist(), gone.to_pylist()):
+        if t is not None and bits is not None:
+            lines = t.split("\n")
+            keep = np.ones(max(len(lines), 65536 * (1 + len(lines) // 65536)), bool)
+            for chunk, data in ((b["chunk"], b["bitmap"]) for b in bits):
+                keep[(chunk << 16) + unpack(data)] = False
+            t = "\n".join([x for x, k in zip(lines, keep.tolist()) if k])
+        out.append(t)
+    return pa.array(out, pa.string())
+
+
 def cleaned(df: DataFrame, key: str, host: str, text: str) -> DataFrame:
-    """``key`` and ``text`` of every row, without its standing lines."""
-    gone = standing_lines(df, key, host, text).groupBy(F.col(key).alias("_k")).agg(F.collect_set("line_no").alias("_gone"))
-    kept = F.filter(F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains("_gone", i))
-    out = df.select(F.col(key), F.col(text)).join(gone, F.col(key) == F.col("_k"), "left")
-    return out.select(key, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(text))
+    """``key`` and ``text`` of every row, without its standing lines, which are looked up in a bitmap of each row's line numbers."""
+    lines = checkpointed(standing_lines(df, key, host, text).select(F.col(key).alias("_k"), F.xxhash64(key).alias("key"), "line_no"))
+    parts = bitmaps(lines.select("key", F.shiftright("line_no", 16).alias("chunk"), F.col("line_no").bitwiseAND(65535).alias("low")))
+    gone = parts.groupBy("key").agg(F.collect_list(F.struct("chunk", "bitmap")).alias("_gone"))
+    named = lines.select("_k", "key").distinct().join(gone, "key").drop("key")
+    out = df.select(F.col(key), F.col(text)).join(named, F.col(key) == F.col("_k"), "left")
+    return out.select(key, without_lines(F.col(text), F.col("_gone")).alias(text))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
