@@ -7,9 +7,8 @@ out; their bitmaps are united, and exact cardinalities decide. Lines are then de
 looking their wording up.
 
 Before bitmaps are built, a count keeps only wordings that can qualify: a single changed
-word leaves the first or the last half of a wording whole, up to three words, so one of
-the two must stand in half the documents the threshold asks for, in lines or pairs of
-lines of that length or a word more or less.
+word leaves the first or the last half of a wording whole, so one of the two must stand
+in half the documents the threshold asks for, in lines or pairs of lines.
 """
 
 from __future__ import annotations
@@ -31,7 +30,6 @@ from corpusmill.sources.tables import table
 
 MIN_DOCS = 5
 MIN_SHARE = 0.4
-EDGE_WORDS = 3
 VARIANT_WORDS = 4
 ORDINAL_BUCKETS = 64
 DENSE = 4096
@@ -44,7 +42,6 @@ MONTHS = "january february march april may june july august september october no
 
 MONTH_SET = frozenset(MONTHS.split())
 WORD = re.compile(r"[^\W_]+")
-MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def wording(line: str) -> list[str]:
@@ -52,82 +49,66 @@ def wording(line: str) -> list[str]:
     return [w for w in WORD.findall(line) if w.isalpha() and w not in MONTH_SET]
 
 
-def edge_words(size: int) -> int:
-    """How many words of a wording's beginning or end a single change elsewhere leaves whole: half of it, up to EDGE_WORDS."""
-    return max(1, min(EDGE_WORDS, size // 2))
+def halves(host: str, words: list[str]) -> set[int]:
+    """Keys of the beginnings and ends that a wording shares, with its source, with every wording of which one word is lost or changed.
 
-
-def edges(host: str, first: list[str], last: list[str], size: int) -> list[tuple[int, int]]:
-    """The keys of the (beginning, end) of a wording of ``size`` words with its source.
-
-    A wording that may be one of a word more, of which one is lost, has that one's as well.
+    Two such wordings of which the longer has n words agree in the first or the last n // 2
+    words. A wording may be the longer or the shorter one, so it has two lengths if its
+    size is odd; under VARIANT_WORDS only the second can differ in a word.
     """
-    out = []
-    for n in {edge_words(size), edge_words(size + 1)}:
-        h = xxhash.xxh3_64_intdigest(f"h{host}\0{' '.join(first[:n])}")
-        t = xxhash.xxh3_64_intdigest(f"t{host}\0{' '.join(last[-n:])}")
-        out.append((h, t))
+    size = len(words)
+    out = set()
+    for n in {max(1, size // 2) if size >= VARIANT_WORDS else (size + 1) // 2, (size + 1) // 2}:
+        out.add(xxhash.xxh3_64_intdigest(f"h{host}\0{' '.join(words[:n])}"))
+        out.add(xxhash.xxh3_64_intdigest(f"t{host}\0{' '.join(words[-n:])}"))
     return out
 
 
-def units(text: str, host: str) -> Iterator[tuple[int, int, list[str], list[str], int, list[tuple[int, int]]]]:
-    """(line number, lines, words of the first line, of the second, size, edges) of every line and every two neighbouring lines that aren't blank."""
+def units(text: str, host: str) -> Iterator[tuple[int, list[str], int, set[int]]]:
+    """(line number, words, words of the second line, halves) of every line and every two neighbouring lines that aren't blank."""
     before: list[str] = []
     for n, line in enumerate(text.lower().split("\n")):
         words = wording(line)
         if words:
             if before:
-                first = before if len(before) >= EDGE_WORDS else before + words
-                last = words if len(words) >= EDGE_WORDS else before + words
-                size = len(before) + len(words)
-                yield n - 1, 2, before, words, size, edges(host, first, last, size)
-            yield n, 1, words, [], len(words), edges(host, words, words, len(words))
+                both = before + words
+                yield n - 1, both, len(words), halves(host, both)
+            yield n, words, 0, halves(host, words)
         before = words
 
 
-def edge_counts(docs: DataFrame) -> DataFrame:
-    """``host``, ``edge``, ``size`` and ``n``: the documents that hold each edge in a line, or two lines, of that many words.
+def half_counts(docs: DataFrame) -> DataFrame:
+    """``host``, ``half`` and ``n``: the documents that hold each half in a line or two.
 
-    Documents are added up within a batch, so an edge of a large source is few rows.
+    Documents are added up within a batch, so a half of a large source is few rows.
     """
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def work(batch: pa.RecordBatch) -> dict:
-            seen: Counter[tuple[str, int, int]] = Counter()
+            seen: dict[str, Counter[int]] = {}
             for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen.update({(host, e, size) for _, _, _, _, size, own in units(text, host) for pair in own for e in pair})
-            keys = list(seen)
-            edge = np.array([k[1] for k in keys], np.uint64).view(np.int64)
-            return {"host": [k[0] for k in keys], "edge": pa.array(edge), "size": pa.array([k[2] for k in keys], pa.int32()), "n": pa.array(list(seen.values()), pa.int64())}
+                own: set[int] = set()
+                for _, _, _, keys in units(text, host):
+                    own |= keys
+                seen.setdefault(host, Counter()).update(own)
+            half = np.fromiter((k for c in seen.values() for k in c), np.uint64, sum(map(len, seen.values()))).view(np.int64)
+            return {"host": [h for h, c in seen.items() for _ in c], "half": pa.array(half), "n": pa.array([n for c in seen.values() for n in c.values()], pa.int64())}
 
         return work
 
-    return map_arrow(docs.select("host", "text"), make, "host string, edge bigint, size int, n bigint")
-
+    return map_arrow(docs.select("host", "text"), make, "host string, half bigint, n bigint")
 
-def slots(edge: np.ndarray, size: np.ndarray, bits: int) -> np.ndarray:
-    """The places in a filter of 2**bits bits of edges and sizes."""
-    h = (edge.astype(np.uint64) ^ (size.astype(np.uint64) * MIX)) * MIX
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
 
-
-def edge_filter(usual: DataFrame) -> np.ndarray:
-    """A bit set with the slots of (``edge``, ``size``) rows: FILTER_BITS bits a row, 32 MB at the most.
+def half_filter(usual: DataFrame) -> np.ndarray:
+    """A bit set of the first bits of the ``half`` column: FILTER_BITS bits a row, 32 MB at the most.
 
     It only spares work: what passes it by chance is counted exactly later on. Its parts
     are made as containers in the tasks, and the driver gets these.
     """
     usual = checkpointed(usual)
     bits = min(FILTER_MOST, max(FILTER_LEAST, (FILTER_BITS * usual.count()).bit_length()))
-
-    def make() -> Callable[[pa.RecordBatch], dict]:
-        def work(batch: pa.RecordBatch) -> dict:
-            at = np.unique(slots(batch.column(0).to_numpy(), batch.column(1).to_numpy(), bits))
-            return {"key": np.zeros(len(at), np.int64), "chunk": (at >> 16).astype(np.int32), "low": (at & 65535).astype(np.int32)}
-
-        return work
-
-    places = map_arrow(usual.select("edge", "size"), make, "key bigint, chunk int, low int")
+    at = F.shiftrightunsigned("half", 64 - bits)
+    places = usual.select(F.lit(0).cast("bigint").alias("key"), F.shiftright(at, 16).cast("int").alias("chunk"), at.bitwiseAND(65535).cast("int").alias("low"))
     out = np.zeros(1 << bits, bool)
     for r in bitmaps(places).select("chunk", "bitmap").toLocalIterator():
         out[(r.chunk << 16) + unpack(bytes(r.bitmap))] = True
@@ -135,27 +116,31 @@ def edge_filter(usual: DataFrame) -> np.ndarray:
 
 
 def line_units(docs: DataFrame, usual: np.ndarray) -> DataFrame:
-    """The wordings of lines and of pairs of neighbouring lines of which an edge is in the filter."""
+    """The wordings of lines and of pairs of neighbouring lines of which a half is in the filter.
+
+    ``words`` holds the numbers of words of the line and of the one after it, 0 for a line alone.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(usual)
-    bits = (len(usual) * 8).bit_length() - 1
+    shift = 64 - ((len(usual) * 8).bit_length() - 1)
     kind = docs.schema["id"].dataType.simpleString()
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         table_ = shared.value
 
         def work(batch: pa.RecordBatch) -> dict:
-            rows, edge, size, of = [], [], [], []
+            rows, half, of = [], [], []
             for i, host, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                for n, lines, words, more, total, own in units(text, host):
-                    for h, t in own:
-                        edge += (h, t)
-                        size += (total, total)
-                        of += (len(rows), len(rows))
-                    rows.append((i, host, n, lines, words, more))
-            at = slots(np.array(edge, np.uint64), np.array(size, np.int64), bits) if rows else np.empty(0, np.int64)
-            hit = np.unique(np.array(of, np.int64)[(table_[at >> 3] >> (at & 7).astype(np.uint8) & 1) > 0]) if rows else at
-            kept = [rows[k] for k in hit.tolist()]
-            return {"id": [r[0] for r in kept], "host": [r[1] for r in kept], "line_no": [r[2] for r in kept], "lines": [r[3] for r in kept], "w": [" ".join(r[4] + r[5]) for r in kept], "words": [[len(r[4]), len(r[5])] for r in kept]}
+                for n, words, second, keys in units(text, host):
+                    half += keys
+                    of += [len(rows)] * len(keys)
+                    rows.append((i, host, n, words, second))
+            at = (np.array(half, np.uint64) >> np.uint64(shift)).astype(np.int64)
+            hit = np.unique(np.array(of, np.int64)[(table_[at >> 3] >> (at & 7).astype(np.uint8) & 1) > 0]).tolist()
+            kept = [rows[k] for k in hit]
+            return {
+                "id": [r[0] for r in kept], "host": [r[1] for r in kept], "line_no": [r[2] for r in kept], "lines": [1 + (r[4] > 0) for r in kept], "w": [" ".join(r[3]) for r in kept],
+                "words": [[len(r[3]) - r[4], r[4]] for r in kept],
+            }
 
         return work
 
@@ -334,10 +319,8 @@ def standing_lines(df: DataFrame, key: str, host: str, text: str, min_docs: int
     sizes = docs.select("id", "host").distinct().groupBy("host").agg(F.count("*").alias("docs"))
     need = F.greatest(F.lit(min_docs), F.ceil(F.col("docs") * min_share - 1e-9)).cast("long")
     wanted = sizes.filter(F.col("docs") >= min_docs).select("host", need.alias("need"))
-    counted = edge_counts(docs).repartition("edge").groupBy("edge", "size").agg(F.sum("n").alias("n"), F.min("host").alias("host"))
-    near = Window.partitionBy("edge").orderBy("size").rangeBetween(-1, 1)
-    often = counted.withColumn("n", F.sum("n").over(near)).filter(F.col("n") * 2 >= min_docs)
-    usual = edge_filter(often.join(wanted, "host").filter(F.col("n") * 2 >= F.col("need")).select("edge", "size"))
+    often = half_counts(docs).groupBy("half").agg(F.sum("n").alias("n"), F.min("host").alias("host")).filter(F.col("n") * 2 >= min_docs)
+    usual = half_filter(often.join(wanted, "host").filter(F.col("n") * 2 >= F.col("need")).select("half"))
     chosen = checkpointed(line_units(docs, usual).withColumn("key", F.xxhash64("host", "w")))
 
     places = chosen.select("id", "key").distinct().join(ordinals(docs.select("id", "host").distinct()).drop("host"), "id")
