@@ -116,10 +116,7 @@ def half_filter(usual: DataFrame) -> np.ndarray:
 
 
 def line_units(docs: DataFrame, usual: np.ndarray) -> DataFrame:
-    """The wordings of lines and of pairs of neighbouring lines of which a half is in the filter.
-
-    ``words`` holds the numbers of words of the line and of the one after it, 0 for a line alone.
-    """
+    """The wordings of lines and of pairs of neighbouring lines of which a half is in the filter."""
     shared = docs.sparkSession.sparkContext.broadcast(usual)
     shift = 64 - ((len(usual) * 8).bit_length() - 1)
     kind = docs.schema["id"].dataType.simpleString()
@@ -139,12 +136,11 @@ def line_units(docs: DataFrame, usual: np.ndarray) -> DataFrame:
             kept = [rows[k] for k in hit]
             return {
                 "id": [r[0] for r in kept], "host": [r[1] for r in kept], "line_no": [r[2] for r in kept], "lines": [1 + (r[4] > 0) for r in kept], "w": [" ".join(r[3]) for r in kept],
-                "words": [[len(r[3]) - r[4], r[4]] for r in kept],
             }
 
         return work
 
-    return map_arrow(docs.select("id", "host", "text"), make, f"id {kind}, host string, line_no int, lines int, w string, words array<int>")
+    return map_arrow(docs.select("id", "host", "text"), make, f"id {kind}, host string, line_no int, lines int, w string")
 
 
 def pack(places: np.ndarray) -> bytes:
@@ -306,6 +302,18 @@ def reaching(vocabulary: DataFrame, ties: DataFrame, maps: DataFrame) -> DataFra
     return sure.select("key").unionByName(sets.join(both, "set").filter(F.col("n") >= F.col("need")).select("key"))
 
 
+def without_companions(rows: DataFrame, standing: DataFrame) -> DataFrame:
+    """``rows`` without the pairs that hold a line whose wording is among ``standing``, unless the pair's own is too.
+
+    Such a pair is a standing line and whatever stands beside it.
+    """
+    firm = rows.filter("lines = 1").join(standing, "key", "left_semi").select("id", "line_no")
+    beside = firm.unionByName(firm.select("id", (F.col("line_no") - 1).alias("line_no"))).distinct()
+    pairs = rows.filter("lines = 2")
+    broken = pairs.join(standing, "key", "left_anti").join(beside, ["id", "line_no"], "left_anti").select(*rows.columns)
+    return rows.filter("lines = 1").unionByName(pairs.join(standing, "key", "left_semi").select(*rows.columns)).unionByName(broken)
+
+
 def standing_lines(df: DataFrame, key: str, host: str, text: str, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
     """``key`` and ``line_no`` of every line with wording of at least ``min_docs`` and ``min_share`` of its host's documents.
 
@@ -323,10 +331,14 @@ def standing_lines(df: DataFrame, key: str, host: str, text: str, min_docs: int
     usual = half_filter(often.join(wanted, "host").filter(F.col("n") * 2 >= F.col("need")).select("half"))
     chosen = checkpointed(line_units(docs, usual).withColumn("key", F.xxhash64("host", "w")))
 
-    places = chosen.select("id", "key").distinct().join(ordinals(docs.select("id", "host").distinct()).drop("host"), "id")
-    maps = checkpointed(bitmaps(places))
     words = chosen.groupBy("key").agg(F.first("host").alias("host"), F.first("w").alias("w"))
-    vocabulary = checkpointed(words.join(wanted, "host").join(cardinalities(maps).withColumnRenamed("n", "own"), "key"))
+    counts = chosen.select("id", "key").distinct().groupBy("key").agg(F.count("*").alias("docs"))
+    vocabulary = checkpointed(words.join(wanted, "host").join(counts, "key"))
+    held = checkpointed(without_companions(chosen.select("id", "line_no", "lines", "key"), vocabulary.filter("docs >= need").select("key")))
+
+    places = held.select("id", "key").distinct().join(ordinals(docs.select("id", "host").distinct()).drop("host"), "id")
+    maps = checkpointed(bitmaps(places))
+    vocabulary = checkpointed(vocabulary.join(cardinalities(maps).withColumnRenamed("n", "own"), "key"))
     ties = variants(vocabulary)
     meeting = ties.groupBy("tie").agg((F.min("key") != F.max("key")).alias("several")).filter("several").select("tie")
     ties = checkpointed(ties.join(meeting, "tie"))
@@ -336,15 +348,15 @@ def standing_lines(df: DataFrame, key: str, host: str, text: str, min_docs: int
     centres = ties.join(known.join(centre, "key"), "key").groupBy("tie").agg(F.max("own").alias("most"))
     beside = ties.join(centres, "tie").groupBy("key").agg(F.max("most").alias("most"))
     near = known.join(beside.select(F.col("key").alias("of"), "most"), F.col("key") == F.col("of")).filter(F.col("most") >= F.col("own"))
-    found = checkpointed(near.select(F.col("of").alias("found")).unionByName(centre.select(F.col("key").alias("found"))).distinct())
-    hits = checkpointed(chosen.join(found, F.col("key") == F.col("found")).select("id", "line_no", "lines", "words"))
-
-    one = hits.filter("lines = 1").select("id", "line_no").distinct()
-    whole = one.withColumn("alone", F.lit(1))
-    # a pair is a broken line unless it is one that stands alone and a word beside it
-    two = hits.filter("lines = 2").select("id", "line_no", "words").join(whole, ["id", "line_no"], "left")
-    two = two.join(whole.select("id", (F.col("line_no") - 1).alias("line_no"), F.col("alone").alias("next")), ["id", "line_no"], "left")
-    two = two.filter((F.col("alone").isNull() | (F.col("words")[1] > 1)) & (F.col("next").isNull() | (F.col("words")[0] > 1)))
+    found = checkpointed(near.select("of").unionByName(centre.select(F.col("key").alias("of"))).distinct().join(known, F.col("of") == F.col("key")).select("of", "own"))
+    hits = checkpointed(held.join(found, F.col("key") == F.col("of")).select("id", "line_no", "lines", "own"))
+
+    one = hits.filter("lines = 1").select("id", "line_no", "own").distinct()
+    # a pair is a broken line unless one of its lines is itself a wording more usual than both
+    two = hits.filter("lines = 2").select("id", "line_no", "own").distinct()
+    alone = one.select("id", "line_no", F.col("own").alias("alone")).unionByName(one.select("id", (F.col("line_no") - 1).alias("line_no"), F.col("own").alias("alone")))
+    two = two.join(alone.groupBy("id", "line_no").agg(F.max("alone").alias("alone")), ["id", "line_no"], "left").filter(F.coalesce("alone", F.lit(0)) < F.col("own"))
+    one = one.select("id", "line_no")
     both = two.select("id", F.explode(F.array(F.col("line_no"), F.col("line_no") + 1)).alias("line_no"))
     return one.unionByName(both).distinct().select(F.col("id").alias(key), "line_no")
 
