@@ -35,6 +35,8 @@ ORDINAL_BUCKETS = 64
 DENSE = 4096
 #: Bits of the filter for each of its keys, and the least and most of all, as powers of two; the most takes 32 MB.
 FILTER_BITS, FILTER_LEAST, FILTER_MOST = 16, 16, 28
+#: Odd factors that spread a key's places in the filter.
+PROBES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 # Month names and their short forms, which stand in filled-in dates.
 MONTHS = "january february march april may june july august september october november december jan feb mar apr jun jul aug sep sept oct nov dec"
@@ -42,6 +44,7 @@ MONTHS = "january february march april may june july august september october no
 
 MONTH_SET = frozenset(MONTHS.split())
 WORD = re.compile(r"[^\W_]+")
+HASH = xxhash.xxh3_64_intdigest
 
 
 def wording(line: str) -> list[str]:
@@ -49,31 +52,32 @@ def wording(line: str) -> list[str]:
     return [w for w in WORD.findall(line) if w.isalpha() and w not in MONTH_SET]
 
 
-def halves(host: str, words: list[str]) -> set[int]:
+def halves(seed: int, words: list[str]) -> list[int]:
     """Keys of the beginnings and ends that a wording shares, with its source, with every wording of which one word is lost or changed.
 
     Two such wordings of which the longer has n words agree in the first or the last n // 2
     words. A wording may be the longer or the shorter one, so it has two lengths if its
-    size is odd; under VARIANT_WORDS only the second can differ in a word.
+    size is odd; under VARIANT_WORDS only the second can differ in a word. ``seed`` tells the source.
     """
-    size = len(words)
-    out = set()
-    for n in {max(1, size // 2) if size >= VARIANT_WORDS else (size + 1) // 2, (size + 1) // 2}:
-        out.add(xxhash.xxh3_64_intdigest(f"h{host}\0{' '.join(words[:n])}"))
-        out.add(xxhash.xxh3_64_intdigest(f"t{host}\0{' '.join(words[-n:])}"))
+    n = (len(words) + 1) // 2
+    out = [HASH(" ".join(words[:n]), seed), HASH(" ".join(words[-n:]), seed + 1)]
+    if len(words) & 1 and len(words) >= VARIANT_WORDS:
+        n -= 1
+        out += [HASH(" ".join(words[:n]), seed), HASH(" ".join(words[-n:]), seed + 1)]
     return out
 
 
-def units(text: str, host: str) -> Iterator[tuple[int, list[str], int, set[int]]]:
+def units(text: str, host: str) -> Iterator[tuple[int, list[str], int, list[int]]]:
     """(line number, words, words of the second line, halves) of every line and every two neighbouring lines that aren't blank."""
     before: list[str] = []
+    seed = HASH(host) >> 1
     for n, line in enumerate(text.lower().split("\n")):
         words = wording(line)
         if words:
             if before:
                 both = before + words
-                yield n - 1, both, len(words), halves(host, both)
-            yield n, words, 0, halves(host, words)
+                yield n - 1, both, len(words), halves(seed, both)
+            yield n, words, 0, halves(seed, words)
         before = words
 
 
@@ -89,7 +93,7 @@ def half_counts(docs: DataFrame) -> DataFrame:
             for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own: set[int] = set()
                 for _, _, _, keys in units(text, host):
-                    own |= keys
+                    own.update(keys)
                 seen.setdefault(host, Counter()).update(own)
             half = np.fromiter((k for c in seen.values() for k in c), np.uint64, sum(map(len, seen.values()))).view(np.int64)
             return {"host": [h for h, c in seen.items() for _ in c], "half": pa.array(half), "n": pa.array([n for c in seen.values() for n in c.values()], pa.int64())}
@@ -99,16 +103,29 @@ def half_counts(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select("host", "text"), make, "host string, half bigint, n bigint")
 
 
+def slots(half: np.ndarray, bits: int) -> np.ndarray:
+    """The places of each half in a filter of 2**bits bits, a row a probe."""
+    h = half.view(np.uint64)
+    return np.stack([(h * m >> np.uint64(64 - bits)).astype(np.int64) for m in PROBES])
+
+
 def half_filter(usual: DataFrame) -> np.ndarray:
-    """A bit set of the first bits of the ``half`` column: FILTER_BITS bits a row, 32 MB at the most.
+    """A bit set with the places of the ``half`` column: FILTER_BITS bits a row, 32 MB at the most.
 
     It only spares work: what passes it by chance is counted exactly later on. Its parts
     are made as containers in the tasks, and the driver gets these.
     """
     usual = checkpointed(usual)
     bits = min(FILTER_MOST, max(FILTER_LEAST, (FILTER_BITS * usual.count()).bit_length()))
-    at = F.shiftrightunsigned("half", 64 - bits)
-    places = usual.select(F.lit(0).cast("bigint").alias("key"), F.shiftright(at, 16).cast("int").alias("chunk"), at.bitwiseAND(65535).cast("int").alias("low"))
+
+    def make() -> Callable[[pa.RecordBatch], dict]:
+        def work(batch: pa.RecordBatch) -> dict:
+            at = np.unique(slots(batch.column(0).to_numpy(), bits))
+            return {"key": np.zeros(len(at), np.int64), "chunk": (at >> 16).astype(np.int32), "low": (at & 65535).astype(np.int32)}
+
+        return work
+
+    places = map_arrow(usual.select("half"), make, "key bigint, chunk int, low int")
     out = np.zeros(1 << bits, bool)
     for r in bitmaps(places).select("chunk", "bitmap").toLocalIterator():
         out[(r.chunk << 16) + unpack(bytes(r.bitmap))] = True
@@ -118,7 +135,7 @@ def half_filter(usual: DataFrame) -> np.ndarray:
 def line_units(docs: DataFrame, usual: np.ndarray) -> DataFrame:
     """The wordings of lines and of pairs of neighbouring lines of which a half is in the filter."""
     shared = docs.sparkSession.sparkContext.broadcast(usual)
-    shift = 64 - ((len(usual) * 8).bit_length() - 1)
+    bits = (len(usual) * 8).bit_length() - 1
     kind = docs.schema["id"].dataType.simpleString()
 
     def make() -> Callable[[pa.RecordBatch], dict]:
@@ -131,8 +148,8 @@ def line_units(docs: DataFrame, usual: np.ndarray) -> DataFrame:
                     half += keys
                     of += [len(rows)] * len(keys)
                     rows.append((i, host, n, words, second))
-            at = (np.array(half, np.uint64) >> np.uint64(shift)).astype(np.int64)
-            hit = np.unique(np.array(of, np.int64)[(table_[at >> 3] >> (at & 7).astype(np.uint8) & 1) > 0]).tolist()
+            at = slots(np.array(half, np.uint64), bits)
+            hit = np.unique(np.array(of, np.int64)[(table_[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=0)]).tolist()
             kept = [rows[k] for k in hit]
             return {
                 "id": [r[0] for r in kept], "host": [r[1] for r in kept], "line_no": [r[2] for r in kept], "lines": [1 + (r[4] > 0) for r in kept], "w": [" ".join(r[3]) for r in kept],
@@ -339,7 +356,7 @@ def standing_lines(df: DataFrame, key: str, host: str, text: str, min_docs: int
     places = held.select("id", "key").distinct().join(ordinals(docs.select("id", "host").distinct()).drop("host"), "id")
     maps = checkpointed(bitmaps(places))
     vocabulary = checkpointed(vocabulary.join(cardinalities(maps).withColumnRenamed("n", "own"), "key"))
-    ties = variants(vocabulary)
+    ties = checkpointed(variants(vocabulary))
     meeting = ties.groupBy("tie").agg((F.min("key") != F.max("key")).alias("several")).filter("several").select("tie")
     ties = checkpointed(ties.join(meeting, "tie"))
     known = vocabulary.select("key", "own", "need")
