@@ -1,11 +1,12 @@
 """Problem 6: text statistics of each record, and whether it is natural prose.
 
-Each statistic's exact empirical distribution is computed per language: values are
-counted first (so ties cost nothing), sorted by range partitioning, and every partition
-adds the number of records in the partitions before it to its own running counts. A
-record's tail probabilities are combined into an outlier score. Records that hold next to
-no sentences, apart from a source's standing lines and one opening sentence, are named,
-the most outlying first; the score excludes none, as common junk is no outlier.
+Each statistic's exact empirical distribution over the records that hold prose is computed
+per language: values are counted first (so ties cost nothing), sorted by range
+partitioning, and every partition adds the number of records in the partitions before it
+to its own running counts. A record's tail probabilities among these are combined into an
+outlier score, which decides; as junk isn't part of the distributions, it stands out
+however common it is. An outlier must also hold text that isn't sentences, apart from a
+source's standing lines and one opening sentence: prose that is merely odd is none.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.arrow import map_arrow
@@ -24,9 +25,12 @@ from corpusmill.llm.standing import standing_lines
 from corpusmill.session import checkpointed
 from corpusmill.sources.tables import table
 
-MAX_PROSE = 0.45
+MIN_SCORE = 2.5
+MAX_PROSE = 0.6
 MIN_REST_WORDS = 8
-STATISTICS = ("mean_word_length", "symbol_ratio", "digit_ratio", "ended_share", "common_share", "words_per_line")
+#: Records of this share of prose make the distributions; a language of fewer than LEAST_RECORDS of them is ranked among those of all.
+HOLDS_PROSE, LEAST_RECORDS = 0.5, 30
+STATISTICS = ("mean_word_length", "symbol_ratio", "digit_ratio", "ended_share", "common_share", "words_per_line", "prose_share")
 DECIMALS = 3
 
 # Frequent function words by language; "of" and its like also stand in list entries and don't tell sentences.
@@ -133,7 +137,7 @@ def record_statistics(lines: DataFrame) -> DataFrame:
             div = lambda a, b: round(a / b, DECIMALS) if b else 0.0
             return [
                 words,
-                min(100.0, div(int(c["letters"].sum()), words)),
+                min(100.0, round(div(int(c["letters"].sum()), words), 2)),
                 div(int(c["symbols"].sum()), chars),
                 div(int(c["digits"].sum()), chars),
                 div(int(c["ended"].sum()), lines),
@@ -151,23 +155,27 @@ def record_statistics(lines: DataFrame) -> DataFrame:
             starts = {f: a.offsets.to_numpy() for f, a in columns.items()}
             gone = batch.column(batch.schema.get_field_index("gone")).to_pylist()
             out = [judge(gone[r], {f: values[f][starts[f][r] : starts[f][r + 1]] for f in LINE_FIELDS}) for r in range(len(offsets) - 1)]
-            names = ("n_words", *STATISTICS, "prose_share", "rest")
+            names = ("n_words", *STATISTICS, "rest")
             return {k: batch.column(batch.schema.get_field_index(k)) for k in ("source", "rec_id", "lang")} | {k: [float(o[i]) for o in out] for i, k in enumerate(names)}
 
         return work
 
-    return map_arrow(lines.select("source", "rec_id", "lang", *LINE_FIELDS, "gone"), make, f"{kinds}, lang string, n_words double, " + ", ".join(f"{s} double" for s in STATISTICS) + ", prose_share double, rest double")
+    return map_arrow(lines.select("source", "rec_id", "lang", *LINE_FIELDS, "gone"), make, f"{kinds}, lang string, n_words double, " + ", ".join(f"{s} double" for s in STATISTICS) + ", rest double")
 
 
 def distributions(stats: DataFrame) -> DataFrame:
-    """Exact ranks: ``lang``, ``stat``, ``value``, ``below`` (records with at most it) and ``above`` (with at least it).
+    """Exact ranks: ``lang``, ``stat``, ``value``, ``below`` (prose records with at most it), ``above`` (with at least it) and their ``total``.
 
-    Values are counted, range-partitioned by (lang, stat, value) and sorted; running counts
+    Values of all records are listed, but only those that hold prose are counted. Values
+    are counted, range-partitioned by (lang, stat, value) and sorted; running counts
     are kept within partitions and completed by the counts of the (lang, stat) groups in
-    the partitions before, of which there is one row a partition and group.
+    the partitions before, of which there is one row a partition and group. All records
+    are ranked once more under the language '', among the prose of all languages.
     """
-    long = stats.select("lang", F.explode(F.array(*[F.struct(F.lit(s).alias("stat"), F.col(s).alias("value")) for s in STATISTICS])).alias("x"))
-    counted = long.select("lang", "x.stat", "x.value").groupBy("lang", "stat", "value").agg(F.count("*").alias("n"))
+    prose = (F.col("prose_share") >= HOLDS_PROSE) & (F.col("rest") >= MIN_REST_WORDS)
+    long = stats.select(F.explode(F.array("lang", F.lit(""))).alias("lang"), prose.cast("bigint").alias("n"), F.array(*[F.struct(F.lit(s).alias("stat"), F.col(s).alias("value")) for s in STATISTICS]).alias("xs"))
+    long = long.select("lang", "n", F.explode("xs").alias("x"))
+    counted = long.select("lang", "x.stat", "x.value", "n").groupBy("lang", "stat", "value").agg(F.sum("n").alias("n"))
     parts = max(2, int(stats.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = counted.repartitionByRange(parts, "lang", "stat", "value").sortWithinPartitions("lang", "stat", "value")
 
@@ -183,8 +191,6 @@ def distributions(stats: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(upto, pa.int64()), pa.array([part] * len(upto), pa.int32())], ["lang", "stat", "value", "n", "upto", "part"])
 
     ranked = checkpointed(ordered.mapInArrow(running, "lang string, stat string, value double, n bigint, upto bigint, part int"))
-    from pyspark.sql import Window
-
     sizes = ranked.groupBy("lang", "stat", "part").agg(F.sum("n").alias("size"))
     w = Window.partitionBy("lang", "stat")
     offsets = sizes.select(
@@ -196,19 +202,23 @@ def distributions(stats: DataFrame) -> DataFrame:
 
 
 def outlier_scores(stats: DataFrame) -> DataFrame:
-    """``stats`` with the mean (``score``) and largest (``most``) of minus the logs of its two-sided tail probabilities.
+    """``stats`` with ``score`` and ``most``: the mean and largest of minus the logs of its tail probabilities among prose.
 
-    A typical record has a mean of about 1; an empty record has that of its zeros.
-    The statistics have three decimals or one and an upper bound (100 letters a word, 1,000
-    words a line), so a distribution has at most 100,001 values a language whatever the
-    number of records, mostly some thousands, and its rows are broadcast.
+    Tails are two-sided, for the share of prose that of low values; a record counts as one
+    of those it is ranked among. A typical record has a mean of about 1. The statistics
+    have two or three decimals, or one and an upper bound (100 letters a word, 1,000 words
+    a line), so a distribution has at most 10,001 values a language whatever the number of
+    records, and its rows are broadcast.
     """
-    tails = distributions(stats)
-    out = stats
+    tails = checkpointed(distributions(stats))
+    least = F.least("below", "above") + 1
+    p = F.when(F.col("stat") == "prose_share", (F.col("below") + 1) / (F.col("total") + 1)).otherwise(2 * least / (F.col("total") + 1))
+    tails = tails.select("lang", "stat", "value", "total", (-F.log(F.least(F.lit(1.0), p))).alias("t"))
+    own = tails.groupBy("lang").agg(F.max("total").alias("total"))
+    out = stats.join(F.broadcast(own), "lang", "left").withColumn("among", F.when(F.col("total") >= LEAST_RECORDS, F.col("lang")).otherwise("")).drop("total")
     for s in STATISTICS:
-        p = F.least(F.lit(1.0), 2 * F.least("below", "above") / F.col("total"))
-        one = tails.filter(F.col("stat") == s).select("lang", F.col("value").alias(s), (-F.log(p)).alias(f"_{s}"))
-        out = out.join(F.broadcast(one), ["lang", s], "left")
+        one = tails.filter(F.col("stat") == s).select(F.col("lang").alias("among"), F.col("value").alias(s), F.col("t").alias(f"_{s}"))
+        out = out.join(F.broadcast(one), ["among", s], "left")
     score = sum((F.col(f"_{s}") for s in STATISTICS), F.lit(0.0)) / len(STATISTICS)
     most = F.greatest(*[F.col(f"_{s}") for s in STATISTICS])
     return out.withColumn("score", F.round(score, 6)).withColumn("most", F.round(most, 6)).select(*stats.columns, "score", "most")
@@ -228,8 +238,8 @@ def p6_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def junk():  # noqa: ANN201
-    """Records that hold next to no sentences."""
-    return (F.col("prose_share") <= MAX_PROSE) & (F.col("rest") >= MIN_REST_WORDS)
+    """Records that stand out from prose and whose text isn't sentences alone."""
+    return (F.col("score") >= MIN_SCORE) & (F.col("prose_share") <= MAX_PROSE) & (F.col("rest") >= MIN_REST_WORDS)
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

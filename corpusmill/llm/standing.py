@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import StringType
 
 from corpusmill.functions.arrow import map_arrow, slices
 from corpusmill.session import checkpointed
@@ -378,7 +379,7 @@ def standing_lines(df: DataFrame, key: str, host: str, text: str, min_docs: int
     return one.unionByName(both).distinct().select(F.col("id").alias(key), "line_no")
 
 
-@arrow_udf("string")
+@arrow_udf(StringType())
 def without_lines(texts: pa.Array, gone: pa.Array) -> pa.Array:
     """Each text without the lines whose numbers are set in its container; a null container takes none."""
     out = []
