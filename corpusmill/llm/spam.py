@@ -3,8 +3,9 @@
 A page is cut into blocks of segments (sentences, lines, list entries) of the same kind.
 Each block's compression ratio is divided by the median ratio that the whole corpus shows
 for blocks of that language and length, so that short blocks and languages with a small
-vocabulary aren't taken for spam (host names and numbers, random in link lists, count as one). A page is a candidate when part of it is extremely
-redundant; it is confirmed by how little of it stands in punctuated, ordinary sentences.
+vocabulary aren't taken for spam (host names and numbers, random in link lists, count as
+one). A page is a candidate when half of it or more is redundant beyond what such blocks
+are; it is confirmed if a fair part of it stands outside punctuated, ordinary sentences.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections import Counter
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.arrow import map_arrow
@@ -24,10 +25,12 @@ from corpusmill.sources.tables import table
 
 BLOCK_CHARS = 1000
 MIN_CHARS = 150
-REDUNDANT = 0.90
+#: A block is redundant below this part of the median of its language and length, and a page if this share of it is.
+REDUNDANT, MIN_REDUNDANT = 0.90, 0.5
+RATIO_DECIMALS = 3
 HOT_SHARE = 0.06
 TERM_SHARE = 0.2
-MIN_STUFFED = 0.5
+MIN_STUFFED = 0.3
 
 # Frequent function words by language.
 FUNCTION_WORDS = {
@@ -124,7 +127,7 @@ def block_statistics(df: DataFrame, key: str, text: str) -> DataFrame:
                     out["lang"].append(language(words))
                     out["step"].append(len(raw).bit_length() * 4 + (len(raw) * 4 >> len(raw).bit_length() - 1 & 3))
                     out["chars"].append(len(block))
-                    out["ratio"].append(len(zlib.compress(raw, 1)) / len(raw))
+                    out["ratio"].append(round(len(zlib.compress(raw, 1)) / len(raw), RATIO_DECIMALS))
                     out["kind"].append(kind)
             return out
 
@@ -135,28 +138,46 @@ def block_statistics(df: DataFrame, key: str, text: str) -> DataFrame:
     return map_arrow(df.select(F.col(key).alias("k"), F.col(text).alias("t")), make, schema)
 
 
+def medians(blocks: DataFrame, by: list[str], name: str, least: int = 1) -> DataFrame:
+    """``by`` and ``name``, the exact lower median of the ratios of each group of ``least`` blocks or more.
+
+    Ratios have RATIO_DECIMALS decimals, so a group's counts are some thousand rows at most
+    and the result doesn't depend on the order of the work.
+    """
+    counts = blocks.groupBy(*by, "ratio").agg(F.count("*").alias("n"))
+    own = Window.partitionBy(*by)
+    run = counts.withColumn("upto", F.sum("n").over(own.orderBy("ratio"))).withColumn("all", F.sum("n").over(own))
+    return run.filter((F.col("all") >= least) & (F.col("upto") * 2 >= F.col("all"))).groupBy(*by).agg(F.min("ratio").alias(name))
+
+
 def stuffed_pages(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key``, ``chars``, ``redundancy`` and ``stuffed`` of every page of MIN_CHARS or more.
+    """``key``, ``chars``, ``redundancy``, ``redundant`` and ``stuffed`` of every page of MIN_CHARS or more.
 
-    ``redundancy`` is the lowest normalised ratio of its blocks; ``stuffed`` the share of
+    ``redundancy`` is the lowest normalised ratio of its blocks and ``redundant`` the share
+    of characters in blocks whose ratio is below REDUNDANT; ``stuffed`` is the share of
     characters outside ordinary sentences, or in sentences that the page's few hot terms
-    fill. The table of medians has
-    a row a language and length step (a few hundred at most), whatever the corpus.
-    ``key`` is expected to be unique; repeated rows of one key are judged as one page.
+    fill. Medians are those of blocks of sentences, of the length step alone where a
+    language has fewer than 20; they have a row a language and length step (a few hundred
+    at most), whatever the corpus. Pages of repeated rows of one key are judged as one page.
     """
     parts = checkpointed(block_statistics(df, key, text))
-    usual = parts.filter("kind = 'sentence'").groupBy("lang", "step").agg(F.percentile_approx("ratio", 0.5, 1000).alias("usual"), F.count("*").alias("n")).filter("n >= 20")
-    by_step = parts.filter("kind = 'sentence'").groupBy("step").agg(F.percentile_approx("ratio", 0.5, 1000).alias("any"))
-    norm = parts.join(F.broadcast(usual), ["lang", "step"], "left").join(F.broadcast(by_step), "step", "left")
+    prose = parts.filter("kind = 'sentence'")
+    norm = parts.join(F.broadcast(medians(prose, ["lang", "step"], "usual", 20)), ["lang", "step"], "left").join(F.broadcast(medians(prose, ["step"], "any")), "step", "left")
     norm = norm.withColumn("norm", F.col("ratio") / F.coalesce("usual", "any", F.lit(1.0)))
     stuffed = F.when(F.col("kind") != "sentence", F.col("chars")).otherwise(0)
-    pages = norm.groupBy("k").agg(F.sum("chars").alias("chars"), F.min("norm").alias("redundancy"), (F.sum(stuffed) / F.sum("chars")).alias("stuffed"))
+    redundant = F.when(F.col("norm") < REDUNDANT, F.col("chars")).otherwise(0)
+    share = lambda c: F.sum(c) / F.sum("chars")
+    pages = norm.groupBy("k").agg(F.sum("chars").alias("chars"), F.min("norm").alias("redundancy"), share(redundant).alias("redundant"), share(stuffed).alias("stuffed"))
     return pages.filter(F.col("chars") >= MIN_CHARS).withColumnRenamed("k", key)
 
 
+def is_stuffed():  # noqa: ANN201
+    """Pages whose redundancy makes them candidates and whose missing sentences confirm it."""
+    return (F.col("redundant") >= MIN_REDUNDANT) & (F.col("stuffed") >= MIN_STUFFED)
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = stuffed_pages(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
-    return pages.filter((F.col("redundancy") < REDUNDANT) & (F.col("stuffed") >= MIN_STUFFED)).select("doc_id")
+    return stuffed_pages(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text").filter(is_stuffed()).select("doc_id")
 
 
 def p10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
