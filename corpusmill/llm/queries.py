@@ -16,6 +16,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_cleaned": standing.p2_cleaned,
     "p3_found": leaks.p3_found,
     "p3_matches": leaks.p3_matches,
+    "p3_item_matches": leaks.p3_item_matches,
+    "p3_cleaned": leaks.p3_cleaned,
     "p4_found": scans.p4_found,
     "p4_repaired": scans.p4_repaired,
     "p5_found": splits.p5_found,
