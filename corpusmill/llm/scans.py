@@ -32,8 +32,9 @@ LEXICON_LEAST = 4
 NAME_SHARE = 5e-7
 NAME_LEAST = 3
 MAX_WEIGHT = 1.05
-MOST_UNKNOWN = 0.4
 RATIO = 10
+#: Lines in capitals that come back so often in one opinion, mostly amid sentences, are running headers.
+HEADER_TIMES, HEADER_CHARS = 3, 60
 
 # Shapes that readers of scanned pages confuse (read -> printed).
 CONFUSED = (
@@ -53,7 +54,8 @@ CITE = re.compile(r"^\W*[CG][il1!]t[ec]\s+as\b.*\d\W*$", re.I)
 REPORTS = re.compile(r"^\W*\d+\s+.*\bREP[O0]RTS\W*$|\bREP[O0]RTS\s+\d+\W*$", re.I)
 TERM = re.compile(r"\b(?:T[EF]RM|Term)\b.*[\dlIO]{4}\W*$")
 VERSUS = re.compile(r"\b[vV][.,_]?\s")
-MAYBE = re.compile(r"\d|\b[vV][.,_]?\s|\b[vV]$")
+#: How every line that the patterns above can match begins or ends: a figure, or a letter read for one, or a versus in it.
+FIGURE = re.compile(r"\d|\b[vV][.,_]?(?:\s|$)|[lIOSo]\W*$")
 
 
 def letters(s: str) -> str:
@@ -76,7 +78,7 @@ def is_furniture(line: str, title: str, before: str, after: str) -> bool:
     the nearest lines of text.
     """
     s = line.strip()
-    if not MAYBE.search(s):
+    if not FIGURE.search(s):
         return False
     digits = sum(c.isdigit() for c in s)
     bare = letters(s)
@@ -193,7 +195,7 @@ class Reader:
         title = letters(head)
         sure: list[tuple[int, str]] = []
         body: list[int] = []
-        furniture: set[int] = set()
+        capitals: dict[str, list[tuple[int, bool]]] = {}
         for at, k in enumerate(filled):
             x = rows[k]
             if len(x) <= 90 and at > 0 and rows[k] is not head:
@@ -201,9 +203,14 @@ class Reader:
                 after = rows[filled[at + 1]] if at + 1 < len(filled) else ""
                 if is_furniture(x, title, before, after):
                     sure.append((k, "furniture"))
-                    furniture.add(k)
                     continue
+                if len(x) <= HEADER_CHARS and x.isupper():
+                    capitals.setdefault(letters(x), []).append((k, bool(before) and before.rstrip()[-1:] not in ".?!:;"))
             body.append(k)
+        headers = {k for name, own in capitals.items() if len(name) > 5 and len(own) >= HEADER_TIMES and sum(amid for _, amid in own) * 2 > len(own) for k, _ in own}
+        if headers:
+            sure += [(k, "furniture") for k in sorted(headers)]
+            body = [k for k in body if k not in headers]
         look: list[tuple[int, str, str]] = []
         known = self.known
         split_first = False
@@ -241,9 +248,6 @@ class Reader:
                 i += 1
             if misread:
                 sure.append((k, "misread"))
-        # a text of mostly unknown strings is no damaged prose but codes or gibberish
-        if len(look) > MOST_UNKNOWN * sum(len(rows[k].split()) for k in body):
-            look = []
         return sure, look
 
     def parted(self, left: str, right: str, before: str) -> bool:
@@ -405,6 +409,8 @@ def repairs(strings: DataFrame, pool: DataFrame) -> DataFrame:
 
         return work
 
+    # few bytes but much work a row: without this, they are one partition
+    met = met.repartition(max(2, int(strings.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "string", "word")
     return map_arrow(met.select("string", "word", "n", "name", "seen"), make, "string string, repair string, n bigint, cost double")
 
 
@@ -417,9 +423,9 @@ def damage(df: DataFrame, key: str, text: str) -> DataFrame:
     counts = checkpointed(word_counts(df, text))
     known, pool, _ = lexicon(counts)
     found = checkpointed(read_lines(df, key, text, known))
-    strings = found.filter("string is not null").groupBy("string").agg(F.count("*").alias("seen"))
-    wrong = repairs(strings, pool).select("string").distinct()
-    misread = found.filter("string is not null").join(wrong, "string").select("id", "line_no", F.lit("misread").alias("kind"))
+    looked = found.filter("string is not null").withColumn("before", F.coalesce("before", F.lit("")))
+    picked = chosen_repairs(df, text, found, pool, known)
+    misread = looked.join(picked, ["string", "before"]).select("id", "line_no", F.lit("misread").alias("kind"))
     sure = found.filter("kind is not null").select("id", "line_no", "kind")
     return sure.unionByName(misread).distinct().withColumnRenamed("id", key)
 
