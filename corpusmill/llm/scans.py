@@ -342,37 +342,54 @@ def delete_keys(words: DataFrame, column: str) -> DataFrame:
     return map_arrow(words.select(column), make, f"{column} string, key bigint")
 
 
-def weight(read: str, printed: str) -> float:
-    """Weighted edit distance from what was read to a word; confused shapes and signs cost 0.5."""
-    a, b = read, printed
-    if abs(len(a) - len(b)) > 2:
+PAIR_SHAPES = {read: tuple(p for r, p in PAIRS if r == read) for read, _ in PAIRS}
+
+
+def weight(read: str, printed: str, most: float = 9.0) -> float:
+    """Weighted edit distance from what was read to a word; confused shapes and signs cost 0.5, and ``most`` or more counts as 9.
+
+    The same beginning and end are left out but for two characters, in which shapes of
+    several letters may begin or end.
+    """
+    if abs(len(read) - len(printed)) > 2:
         return 9.0
+    short = min(len(read), len(printed))
+    head = 0
+    while head < short and read[head] == printed[head]:
+        head += 1
+    if head == len(read) == len(printed):
+        return 0.0
+    tail = 0
+    while tail < short - head and read[-1 - tail] == printed[-1 - tail]:
+        tail += 1
+    head, tail = max(0, head - 2), max(0, tail - 2)
+    a, b = read[head : len(read) - tail], printed[head : len(printed) - tail]
     inf = 9.0
     rows = [[inf] * (len(b) + 1) for _ in range(len(a) + 1)]
     rows[0][0] = 0.0
     for i in range(len(a) + 1):
+        x = a[i : i + 1]
+        low = x.lower()
+        sign = not (x.isalpha() and x.isascii())
+        shapes = [(len(r), len(p), p) for m in (1, 2, 3) if i + m <= len(a) for r in (a[i : i + m].lower(),) for p in PAIR_SHAPES.get(r, ()) if len(r) + len(p) > 2]
+        row = rows[i]
         for j in range(max(0, i - 3), min(len(b), i + 3) + 1):
-            d = rows[i][j]
-            if i < len(a) and j < len(b):
-                x, y = a[i], b[j]
-                low = x.lower()
-                if x == y:
-                    rows[i + 1][j + 1] = min(rows[i + 1][j + 1], d)
-                elif low == y:
-                    rows[i + 1][j + 1] = min(rows[i + 1][j + 1], d + 0.3)
-                elif (low, y) in PAIRS or not (x.isalpha() and x.isascii()):
-                    rows[i + 1][j + 1] = min(rows[i + 1][j + 1], d + 0.5)
-                else:
-                    rows[i + 1][j + 1] = min(rows[i + 1][j + 1], d + 1.5)
-            for m in (1, 2, 3):
-                for n in (1, 2):
-                    if m + n > 2 and i + m <= len(a) and j + n <= len(b) and (a[i : i + m].lower(), b[j : j + n]) in PAIRS:
-                        rows[i + m][j + n] = min(rows[i + m][j + n], d + 0.5)
-            if i < len(a):
-                rows[i + 1][j] = min(rows[i + 1][j], d + 1.5)
-            if j < len(b):
-                rows[i][j + 1] = min(rows[i][j + 1], d + 1.5)
-    return rows[-1][-1]
+            d = row[j]
+            if d >= most:
+                continue
+            if x and j < len(b):
+                y = b[j]
+                cost = d if x == y else d + 0.3 if low == y else d + 0.5 if sign or (low, y) in PAIRS else d + 1.5
+                if cost < rows[i + 1][j + 1]:
+                    rows[i + 1][j + 1] = cost
+            for m, n, p in shapes:
+                if b.startswith(p, j) and d + 0.5 < rows[i + m][j + n]:
+                    rows[i + m][j + n] = d + 0.5
+            if x and d + 1.5 < rows[i + 1][j]:
+                rows[i + 1][j] = d + 1.5
+            if j < len(b) and d + 1.5 < row[j + 1]:
+                row[j + 1] = d + 1.5
+    return rows[-1][-1] if rows[-1][-1] < most else 9.0
 
 
 def repairs(strings: DataFrame, pool: DataFrame) -> DataFrame:
@@ -394,7 +411,7 @@ def repairs(strings: DataFrame, pool: DataFrame) -> DataFrame:
                 read = s if s[:1].islower() or not s[1:].islower() else s[:1].lower() + s[1:]
                 if s[:1].isupper() and not plain:
                     read = s[:1].lower() + s[1:]
-                cost = weight(read, w)
+                cost = weight(read, w, MAX_WEIGHT + 0.01)
                 ok = cost <= MAX_WEIGHT and n >= RATIO * seen if plain else cost <= MAX_WEIGHT
                 if name and plain:
                     ok = False
