@@ -54,6 +54,7 @@ FUNCTION_WORDS = {
     "pt": "o a os as de do da e um uma em para por com não ao que se sem após durante",
     "nl": "de het een en van in op te met voor niet is aan bij na zonder door",
 }
+ASKING = frozenset("who what which when where why how whose whom".split())
 LANGUAGES = {lang: frozenset(words.split()) for lang, words in FUNCTION_WORDS.items()}
 SPOKEN = {w: tuple(lang for lang, own in LANGUAGES.items() if w in own) for w in frozenset().union(*LANGUAGES.values())}
 
@@ -117,11 +118,15 @@ def copies(answer: str, user: str) -> bool:
     answer', needn't come back.
     """
     said = [w.lower() for w in WORD.findall(answer)]
-    for asked in (question_of(user), user):
+    size = next((n for n in range(3, len(said) // 2 + 1) if len(said) % n == 0 and said[n] == said[0] and said == said[:n] * (len(said) // n)), len(said))
+    said = said[:size]
+    question = question_of(user)
+    lead, _, bare = question.partition(":")
+    for asked in (question, bare if len(lead.split()) <= 3 else "", user):
         once = [w.lower() for w in WORD.findall(asked)]
-        if len(once) < 3:
+        if len(once) < 3 or once[0] in ASKING and once[0] not in said:  # an answer puts its subject there
             continue
-        for q in (once, once * max(1, round(len(said) / len(once)))):
+        for q in (once, once * max(1, round(len(said) / len(once)))):  # copies that differ are no exact repeats
             if not len(q) * 0.75 <= len(said) <= len(q) * 1.2 + 5:
                 continue
 
@@ -270,12 +275,12 @@ def shortened_for_prompt(answers: DataFrame) -> DataFrame:
 
 
 def length_limits(rows: DataFrame, times: float = 6.0, deviations: float = 8.0) -> DataFrame:
-    """Lengths at which unfinished answers pile up: ``size`` met ``times`` as often as the mean of the ten lengths round it.
+    """Lengths at which different unfinished answers pile up: ``size`` met ``times`` as often as the mean of the ten lengths round it.
 
     The surplus must also be ``deviations`` times what chance makes of such a mean, so the
     rule asks for the same evidence at every size of the table.
     """
-    sizes = rows.filter("last is not null").groupBy(F.length("answer").alias("size")).agg(F.count("*").alias("n"))
+    sizes = rows.filter("last is not null").select("answer").distinct().groupBy(F.length("answer").alias("size")).agg(F.count("*").alias("n"))
     near = sizes.select(F.explode(F.sequence(F.col("size") - 5, F.col("size") + 5)).alias("size"), F.col("n").alias("m"), F.col("size").alias("other"))
     mean = near.filter("size <> other").groupBy("size").agg((F.sum("m") / 10).alias("mean"))
     usual = F.coalesce("mean", F.lit(0.0))

@@ -171,6 +171,10 @@ def pack(places: np.ndarray) -> bytes:
     return b"b" + np.packbits(bits, bitorder="little").tobytes()
 
 
+def pack_list(places: list[int]) -> bytes:
+    return pack(np.array(places, np.int64))
+
+
 def unpack(data: bytes) -> np.ndarray:
     """The sorted positions of a container."""
     if data[:1] == b"a":
@@ -233,7 +237,7 @@ def _grouped(df: DataFrame, merge: Callable[[list], bytes], value: str, most: in
 
 def bitmaps(places: DataFrame) -> DataFrame:
     """(key, chunk, low) rows to one container each (key, chunk)."""
-    return _grouped(places, lambda v: pack(np.array(v, np.int64)), "low", 100_000)
+    return _grouped(places, pack_list, "low", 100_000)
 
 
 def united(parts: DataFrame) -> DataFrame:

@@ -130,13 +130,72 @@ def test_standing_lines(spark):
     assert standing.standing_lines(df.limit(0), "sec_id", "filer", "text").count() == 0
 
 
-def test_standing_lines_without_broadcast(spark, monkeypatch):
+def test_the_filter_only_spares_work(spark, monkeypatch):
     rng = random.Random(16)
     rows = [(i, "f", f"Filed for the upper registrar of Ostholt on 2001-0{i + 1}-01\n{prose(rng, 3)}") for i in range(6)]
     df = spark.createDataFrame(rows, "sec_id bigint, filer string, text string")
-    want = {(r.sec_id, r.line_no) for r in standing.standing_lines(df, "sec_id", "filer", "text").collect()}
-    monkeypatch.setattr(standing, "BROADCAST_KEYS", -1)
-    assert {(r.sec_id, r.line_no) for r in standing.standing_lines(df, "sec_id", "filer", "text").collect()} == want == {(i, 0) for i in range(6)}
+    find = lambda: {(r.sec_id, r.line_no) for r in standing.standing_lines(df, "sec_id", "filer", "text").collect()}
+    assert find() == {(i, 0) for i in range(6)}
+    # a filter so small that all wordings pass it gives the same lines
+    monkeypatch.setattr(standing, "FILTER_LEAST", 16)
+    monkeypatch.setattr(standing, "half_filter", lambda usual: __import__("numpy").full(1 << 13, 255, "uint8"))
+    assert find() == {(i, 0) for i in range(6)}
+
+
+def test_short_and_broken_standing_lines(spark):
+    rng = random.Random(26)
+    rows, want = [], set()
+    for i in range(10):
+        body = [prose(rng, 2), "Confidential" if i < 6 else prose(rng, 1), prose(rng, 2)]
+        if i < 6:
+            want.add((i, 1))
+        if i < 4:
+            body.append(f"Printed June {i}, 2001 for Ostkoham Lines, sheet {i}")
+            want.add((i, 3))
+        elif i < 6:
+            body += [f"Printed June {i}, 2001 for", f"Ostkoham Lines, sheet {i} of 9".replace(" of 9", "")]
+            want.update({(i, 3), (i, 4)})
+        rows.append((i, "f", "\n".join(body)))
+    df = spark.createDataFrame(rows, "sec_id bigint, filer string, text string")
+    assert {(r.sec_id, r.line_no) for r in standing.standing_lines(df, "sec_id", "filer", "text").collect()} == want
+
+
+def test_variants_reach_the_threshold_only_together(spark):
+    """Bitmaps united over ties decide: no wording alone is in enough documents, all of them together are."""
+    rng = random.Random(27)
+    tail = "quiet committee of the upper harbour reviewed the bitter audit"
+    rows = [(i, "f", f"{NOUNS[i]} {tail}\n{prose(rng, 2)}") for i in range(6)] + [(i, "f", prose(rng, 3)) for i in range(6, 14)]
+    df = spark.createDataFrame(rows, "sec_id bigint, filer string, text string")
+    assert {(r.sec_id, r.line_no) for r in standing.standing_lines(df, "sec_id", "filer", "text").collect()} == {(i, 0) for i in range(6)}
+    rows[0] = (0, "f", "entirely other words stand here instead of those\n" + prose(rng, 2))
+    df = spark.createDataFrame(rows, "sec_id bigint, filer string, text string")
+    assert standing.standing_lines(df, "sec_id", "filer", "text").count() == 0
+
+
+def test_groups_are_merged_in_parts(spark):
+    rng = random.Random(28)
+    rows = [(k, c, rng.randrange(65536)) for k in range(3) for c in range(2) for _ in range(500)]
+    df = spark.createDataFrame(rows, "key bigint, chunk int, low int").distinct()
+    whole = standing._grouped(df, standing.pack_list, "low", 7)
+    got = {(r.key, r.chunk): standing.unpack(bytes(r.bitmap)).tolist() for r in whole.collect()}
+    assert got == {g: sorted({low for k, c, low in rows if (k, c) == g}) for g in {r[:2] for r in rows}}
+
+
+def test_one_large_filer_with_a_changing_word_grows_in_proportion(spark):
+    import time
+
+    def seconds(n):
+        rows = spark.range(n).selectExpr(
+            "id as sec_id", "'f' as filer",
+            "concat('The quiet committee of Ostholt reviewed word', translate(cast(id as string), '0123456789', 'abcdefghij'), ' for the upper registrar of the harbour\n', translate(md5(cast(id as string)), '0123456789', 'ghijklmnop')) as text",
+        )
+        began = time.time()
+        assert standing.standing_lines(rows, "sec_id", "filer", "text").count() == n
+        return time.time() - began
+
+    seconds(200)
+    small, large = seconds(2_000), seconds(20_000)
+    assert large < 6 * small + 10
 
 
 # ---- leaks -----------------------------------------------------------------------------
@@ -166,6 +225,38 @@ def test_leaks(spark):
     assert leaks.leaks(df, ["rec_id"], "text", {}).count() == 0
 
 
+def test_common_phrases_pair_nothing_and_longest_matches_are_exact(spark):
+    rng = random.Random(31)
+    phrase = "which of the following statements is true under the"
+    items = {k: f"{phrase} {' '.join(rng.choice(ADJS + NOUNS + VERBS) + str(rng.randrange(99)) for _ in range(30))}" for k in range(200)}
+    items[500] = "two words"
+    index = leaks.Items(items)
+    texts = [f"{prose(rng, 1)} {phrase} harbour" for _ in range(50)] + [f"{prose(rng, 2)} {items[7]} {prose(rng, 1)}", "he gave two words only", None, ""]
+    seen = []
+    keep = leaks.longest_run
+    leaks.longest_run = lambda *a: seen.append(a) or keep(*a)
+    try:
+        out = leaks.search(texts, index)
+    finally:
+        leaks.longest_run = keep
+    hits = [m for m in out if leaks.enough(m[2], m[3], len(index.words[m[1]]), leaks.MIN_RUN)]
+    assert {(m[0], m[1]) for m in hits} == {(50, 7), (51, 500)} and len(seen) < 100
+    row, item, _, _, longest, at = next(m for m in hits if m[1] == 7)
+    words = leaks.words_of(texts[50])
+    assert longest == len(index.words[7]) and words[at : at + longest] == index.words[7]
+
+
+def test_one_changed_word_in_a_short_prompt():
+    words = [f"w{c}" for c in "abcdefghijklmn"]
+    index = leaks.Items({1: " ".join(words), 2: "the quiet mill closed in early spring"})
+    for at in (2, 3, 7, 11):
+        other = [*words]
+        other[at] = "zz"
+        found = leaks.search(["he said " + " ".join(other) + " again"], index)
+        assert [(m[1], leaks.enough(m[2], m[3], 14, 25)) for m in found] == [(1, True)]
+    assert [m[1] for m in leaks.search(["so the quiet mi1l closed in early spring again"], index)] == [2]
+
+
 def test_binary_search_finds_every_suffix():
     rng = random.Random(8)
     item = " ".join(rng.choice("abcdef") for _ in range(200))
@@ -224,6 +315,56 @@ def test_weights_prefer_confused_shapes():
     assert scans.weight("before", "before") == 0 and scans.weight("bxfore", "before") > 1
 
 
+def whole_weight(read, printed):
+    """The distance over the whole words, by every way to part them."""
+    from functools import cache
+
+    @cache
+    def of(i, j):
+        if i == len(read) and j == len(printed):
+            return 0.0
+        best = 9.0
+        if i < len(read) and j < len(printed):
+            x, y = read[i], printed[j]
+            cost = 0.0 if x == y else 0.3 if x.lower() == y else 0.5 if (x.lower(), y) in scans.PAIRS or not (x.isalpha() and x.isascii()) else 1.5
+            best = cost + of(i + 1, j + 1)
+        for m in (1, 2, 3):
+            for n in (1, 2):
+                if m + n > 2 and (read[i : i + m].lower(), printed[j : j + n]) in scans.PAIRS and i + m <= len(read) and j + n <= len(printed):
+                    best = min(best, 0.5 + of(i + m, j + n))
+        if i < len(read):
+            best = min(best, 1.5 + of(i + 1, j))
+        return min(best, 1.5 + of(i, j + 1)) if j < len(printed) else best
+
+    return of(0, 0)
+
+
+def test_weights_against_all_ways_to_part_the_words():
+    rng = random.Random(32)
+    for _ in range(3000):
+        word = rng.choice(["court", "modern", "clinging", "dirndl", "million", "illness", "corner"])
+        read = list(word)
+        for _ in range(rng.randint(0, 2)):
+            i = rng.randrange(len(read))
+            read[i] = rng.choice(["c", "e", "rn", "m", "ii", "cl", "d", "1", "~", "B", "li", "h", ""])
+        read = "".join(read)
+        want = whole_weight(read, word)
+        got = scans.weight(read, word, 1.06)
+        assert got == pytest.approx(want) if want < 1.06 else got == 9.0
+
+
+def test_plain_running_headers_and_bad_scans(spark):
+    rng = random.Random(33)
+    rows = [(i, prose(rng, 60)) for i in range(40)]
+    page = lambda: "\n".join(f"the quiet court reviewed each lease of the {rng.choice(ADJS)}" for _ in range(3))
+    rows.append((100, f"{page()}\nOPINION OF THE COURT\n{page()}\nOPINION OF THE COURT\n{page()}\nOPINION OF THE COURT\n{page()}"))
+    bad = " ".join("we5tern" if i % 2 else "qzxv" + NOUNS[i % 16][::-1] for i in range(30))
+    rows.append((101, bad))
+    df = spark.createDataFrame(rows, "case_id bigint, document string")
+    got = {(r.case_id, r.line_no, r.kind) for r in scans.damage(df, "case_id", "document").collect()}
+    assert {g for g in got if g[0] == 100} == {(100, n, "furniture") for n in (3, 7, 11)} and (101, 0, "misread") in got
+
+
 # ---- splits ----------------------------------------------------------------------------
 
 
@@ -292,6 +433,43 @@ def test_long_copies_with_words_round_them():
     assert not pairs.copies(shuffled, asked) and not pairs.copies(prose(rng, 80), asked)
 
 
+def test_copies_given_more_than_once():
+    q = "Context:\nThe early mill closed.\n\nPlease answer: Who later restored the slender pulley of the mill?"
+    asked = "Who later restored the slender pulley of the mill?"
+    assert pairs.copies(asked, q) and pairs.copies(f"{asked} {asked} {asked}", q) and pairs.copies(f"The question is: {asked}", q)
+    assert not pairs.copies("Ostholt later restored the slender pulley of the mill.", q) and not pairs.copies("The early mill", q)
+
+
+def test_neighbours_and_length_limits_decide(spark):
+    """Answers that the rules alone take for finished: removing the sorted run or the pile-ups changes the rows."""
+    q = "Context:\nThe upper mill stood up in 1984 with a quiet harbour, closed.\n\nWhat came of mill {}?"
+    rows = [(1, q.format(1), "The clerk found that the harbour stood up", "lookup"), (2, q.format(2), "The clerk found that the harbour stood upper mill then.", "lookup")]
+    rows += [(3, q.format(3), "The quiet upper mill stood up in the harbour", "lookup"), (4, q.format(3), "The quiet upper mill stood up in the harbour with a closed gate.", "lookup"), (5, q.format(5), "The quiet harbour", "lookup")]
+    words = [a + b for a in ADJS for b in NOUNS]
+    piled = [f"Of {w} the registry then said {'z' * (30 - len(w))}" for w in words[:100]]
+    rows += [(100 + i, q.format(i), t, "lookup") for i, t in enumerate(piled)]
+    rows += [(300 + i, q.format(i), f"It held {'z' * (30 - len(w))} {w} in all. {'z' * (30 - len(w))} was said.", "lookup") for i in range(20) for w in words[:100:5]]
+    df = spark.createDataFrame(rows, "row_id bigint, user string, assistant string, kind string")
+    found = lambda: {r.row_id for r in pairs.defects(df, "row_id", "user", "assistant", "kind").collect()}
+    whole = found()
+    assert {1, 3} <= whole and not {2, 4, 5} & whole
+    keep = pairs.sorted_neighbours
+    pairs.sorted_neighbours = lambda t, c: keep(t, c).limit(0)
+    try:
+        assert not {1, 3} & found()
+    finally:
+        pairs.sorted_neighbours = keep
+    limits = pairs.length_limits(spark.createDataFrame([("x", f"{i:040d}") for i in range(60)] + [("x", "z" * 33)] * 60 + [("x", "y" * n) for n in range(20, 70)], "last string, answer string"))
+    assert [r.size for r in limits.collect()] == [40]
+
+
+def test_languages_are_compared_both_ways(spark):
+    french = "Le tribunal examina la décision dans la salle et le comité reporta les débats pour les parties."
+    english = "The court reviewed the decision in the hall and the committee put off the hearing for the parties."
+    df = spark.createDataFrame([(1, french, english, "x"), (2, english, french, "x"), (3, french, "Les parties ne sont pas dans la salle, et le comité est pour une décision.", "x")], "row_id bigint, user string, assistant string, kind string")
+    assert {r.row_id: r.defect for r in pairs.defects(df, "row_id", "user", "assistant", "kind").collect()} == {1: "other_language", 2: "other_language"}
+
+
 def test_fragments_stay_fragments_as_the_table_grows(spark):
     q = "Context:\nThe finally heard appeal closed in 1984.\n\nWhat came of appeal {}?"
     rows = [(i, q.format(i), f"In matter {i} the clerk went to Ostv", "lookup") for i in range(40)]
@@ -304,13 +482,12 @@ def test_fragments_stay_fragments_as_the_table_grows(spark):
     assert got == {i: "truncated" for i in [*range(40), *range(100, 140)]}
 
 
-def test_shortened_against_sorted_neighbours(spark):
+def test_shortened_against_all_pairs(spark):
     rng = random.Random(12)
     texts = {"".join(rng.choice("ab ") for _ in range(rng.randint(1, 9))) for _ in range(300)}
     got = {r.answer for r in pairs.shortened(spark.createDataFrame([(t,) for t in texts], "answer string")).collect()}
-    order = sorted(texts)
-    want = {a for a, b in zip(order, order[1:]) if b.startswith(a) and a[-1:].isalnum() and b[len(a)].isalnum()}
-    assert got == want
+    assert got == {a for a in texts if a[-1:].isalnum() and any(b != a and b.startswith(a) and b[len(a)].isalnum() for b in texts)}
+    assert pairs.shortened(spark.createDataFrame([], "answer string")).count() == 0
 
 
 # ---- quality and spam ------------------------------------------------------------------
@@ -318,14 +495,28 @@ def test_shortened_against_sorted_neighbours(spark):
 
 def test_distributions_are_exact(spark):
     rng = random.Random(13)
-    rows = [("en" if i % 3 else "de", *[round(rng.random(), 1) for _ in quality.STATISTICS]) for i in range(200)]
-    df = spark.createDataFrame(rows, "lang string, " + ", ".join(f"{s} double" for s in quality.STATISTICS))
+    rows = [("en" if i % 3 else "de", *[round(rng.random(), 1) for _ in quality.STATISTICS], 9.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "lang string, " + ", ".join(f"{s} double" for s in quality.STATISTICS) + ", rest double")
+    of_prose = [r for r in rows if r[1 + quality.STATISTICS.index("prose_share")] >= quality.HOLDS_PROSE]
     for r in quality.distributions(df).collect():
         at = 1 + quality.STATISTICS.index(r.stat)
-        values = [x[at] for x in rows if x[0] == r.lang]
+        values = [x[at] for x in of_prose if r.lang in ("", x[0])]
         assert (r.below, r.above, r.total) == (sum(v <= r.value for v in values), sum(v >= r.value for v in values), len(values))
 
 
+def test_the_outlier_score_decides(spark):
+    """Removing the score adds rows: text that isn't sentences by the confirming rule alone, but of usual statistics."""
+    base = {"mean_word_length": 5.0, "symbol_ratio": 0.02, "digit_ratio": 0.01, "ended_share": 0.8, "common_share": 0.3, "words_per_line": 12.0, "prose_share": 0.9}
+    rng = random.Random(41)
+    rows = [(i, *[round(v * rng.uniform(0.5, 1.1), 3) for v in base.values()], 90.0) for i in range(300)]
+    rows += [(1000, *{**base, "prose_share": 0.55}.values(), 90.0), (1001, 5.0, 0.3, 0.4, 0.0, 0.0, 3.0, 0.1, 90.0)]
+    df = spark.createDataFrame(rows, "rec_id bigint, " + ", ".join(f"{s} double" for s in base) + ", rest double").withColumn("lang", F.lit("en"))
+    out = quality.outlier_scores(df)
+    confirmed = {r.rec_id for r in out.filter((F.col("prose_share") <= quality.MAX_PROSE) & (F.col("rest") >= quality.MIN_REST_WORDS)).collect()}
+    found = {r.rec_id for r in out.filter(quality.junk()).collect()}
+    assert found == {1001} and {1000, 1001} <= confirmed
+
+
 def test_junk_and_prose(spark):
     rng = random.Random(14)
     table_text = "\n".join(f"Core audit | {rng.randint(1000, 9999)} | {rng.random():.2f} | -" for _ in range(30))
@@ -352,11 +543,25 @@ def test_stuffed_pages(spark):
     keywords = " | ".join(rng.choice(["cheap will kit", "will kit Ostholt", "best will kit online", "will kit free"]) for _ in range(80))
     rows = [(i, prose(rng, 12)) for i in range(60)] + [(100, keywords), (101, prose(rng, 3) + "\n" + keywords), (102, prose(rng, 30) + "\n" + keywords[:60]), (103, None), (104, ""), (105, "will kit will kit")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("k", F.lit(0)).withColumn("chars", F.lit(0))
-    got = {r.doc_id for r in spam.stuffed_pages(df, "doc_id", "text").filter((F.col("redundancy") < spam.REDUNDANT) & (F.col("stuffed") >= spam.MIN_STUFFED)).collect()}
+    got = {r.doc_id for r in spam.stuffed_pages(df, "doc_id", "text").filter(spam.is_stuffed()).collect()}
     assert got == {100, 101}
     assert spam.stuffed_pages(df.limit(0), "doc_id", "text").count() == 0
 
 
+def test_redundancy_decides_and_medians_are_exact(spark):
+    """A page of captions as varied as prose isn't stuffed; removing the compression ratio would name it."""
+    rng = random.Random(42)
+    stuffed = " | ".join(rng.choice(["cheap will kit", "will kit Ostholt", "best will kit online"]) for _ in range(80))
+    varied = "\n".join(f"{rng.choice(ADJS)} {rng.choice(NOUNS)} {''.join(rng.choice('abcdefghijklmnopqrstuvwxyz') for _ in range(14))}" for _ in range(30))
+    df = spark.createDataFrame([(i, prose(rng, 12)) for i in range(60)] + [(100, stuffed), (101, varied)], "doc_id bigint, text string")
+    out = spam.stuffed_pages(df, "doc_id", "text")
+    assert {r.doc_id for r in out.filter(F.col("stuffed") >= spam.MIN_STUFFED).collect()} == {100, 101}
+    assert {r.doc_id for r in out.filter(spam.is_stuffed()).collect()} == {100}
+    blocks = [("en", rng.randrange(3), round(rng.random(), 2)) for _ in range(300)]
+    got = {r.step: r.m for r in spam.medians(spark.createDataFrame(blocks, "lang string, step int, ratio double"), ["step"], "m").collect()}
+    assert got == {s: sorted(r for _, t, r in blocks if t == s)[(sum(t == s for _, t, _ in blocks) - 1) // 2] for s in range(3)}
+
+
 # ---- mixing ----------------------------------------------------------------------------
 
 
@@ -397,7 +602,7 @@ def test_edge_texts_crash_nothing(spark):
     leaks.leaks(df, ["rec_id"], "text", {1: "the " * 30, 2: "x"}).collect()
 
 
-@pytest.mark.parametrize("name", ["p1_found", "p2_found", "p3_found", "p4_found", "p5_found", "p5_report", "p6_found", "p7_found", "p8_ids", "p9_shares", "p10_found"])
+@pytest.mark.parametrize("name", ["p1_found", "p2_found", "p3_found", "p3_matches", "p3_item_matches", "p3_cleaned", "p4_found", "p5_found", "p5_report", "p6_found", "p7_found", "p8_ids", "p9_shares", "p10_found"])
 def test_queries_run(spark, tiny, name):
     from corpusmill.llm.queries import QUERIES
 
