@@ -85,7 +85,7 @@ def rake(cells: list[dict], shares: dict[str, float], repeats: dict[str, int]) -
 
 
 def mix(docs: DataFrame, targets: DataFrame, key: str, source: str, lang: str, topic: str, tokens: str) -> DataFrame:
-    """``key``, ``source``, ``n_tokens``, ``weight`` and ``copies`` of every document of a target source.
+    """``key``, ``source``, ``lang``, ``topic``, ``n_tokens``, ``weight`` and ``copies`` of every document of a target source.
 
     ``targets`` has source, target_share and max_repeats, a row a source. Documents of other
     or null sources are left out; those without tokens get no copy. The cells (sources by
@@ -123,7 +123,7 @@ def mix(docs: DataFrame, targets: DataFrame, key: str, source: str, lang: str, t
     limits = spark.createDataFrame(cuts, "source string, cut double")
     joined = drawn.join(F.broadcast(limits), "source", "left")
     copies = F.when(F.col("tokens") > 0, F.col("whole") + F.when(F.col("place") < F.col("cut"), 1).otherwise(0)).otherwise(0)
-    return joined.select(F.col("id").alias(key), "source", F.col("tokens").alias("n_tokens"), F.round("weight", 9).alias("weight"), copies.cast("int").alias("copies"))
+    return joined.select(F.col("id").alias(key), "source", "lang", "topic", F.col("tokens").alias("n_tokens"), F.round("weight", 9).alias("weight"), copies.cast("int").alias("copies"))
 
 
 def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,3 +143,13 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = table(spark, sf_dir, "mix_targets")
     out = targets.join(by, "source", "left").join(F.broadcast(total))
     return out.select("source", "target_share", F.coalesce(F.try_divide("tokens", "_total"), F.lit(0.0)).alias("reached_share"), "tokens", "documents", "most_copies", "max_repeats")
+
+
+def p9_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``marginal``, ``value``, ``corpus_share`` and ``reached_share`` of the tokens of each source, language and topic, before and after mixing."""
+    mixed = checkpointed(_mixed(spark, sf_dir).withColumn("drawn", F.col("copies") * F.col("n_tokens")))
+    total = mixed.agg(F.sum("n_tokens").alias("n"), F.sum("drawn").alias("d")).first()
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("marginal"), F.col(c).alias("value")) for c in ("source", "lang", "topic")])).alias("m")
+    by = mixed.select(values, "n_tokens", "drawn").groupBy("m.marginal", "m.value").agg(F.sum("n_tokens").alias("n"), F.sum("drawn").alias("d"))
+    share = lambda c, whole: F.col(c) / float(whole or 1)
+    return by.select("marginal", "value", share("n", total["n"]).alias("corpus_share"), share("d", total["d"]).alias("reached_share"))

@@ -126,4 +126,9 @@ def p1_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_frequency(table(spark, sf_dir, "sec", "sec_id", "filer", "text"), "sec_id", "filer", "text")
+    """The named method over both tables; the host is a filing's filer and an opinion's court."""
+    parts = [
+        table(spark, sf_dir, name, key, host, text).select(F.concat(F.lit(f"{source}/"), F.col(key)).alias("rec"), F.concat(F.lit(f"{source}/"), F.col(host)).alias("host"), F.col(text).alias("text"))
+        for source, name, key, host, text in (("sec", "sec", "sec_id", "filer", "text"), ("case-law", "case_law", "case_id", "court", "document"))
+    ]
+    return line_frequency(parts[0].unionByName(parts[1]), "rec", "host", "text")

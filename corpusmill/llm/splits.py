@@ -32,7 +32,8 @@ from corpusmill.session import checkpointed
 SHINGLE = 3
 SIMILARITY = 0.65
 SHARED = 4
-BROADCAST_IDS = 3_000_000
+#: Sets of ids are broadcast up to so many, some 16 MB.
+BROADCAST_IDS = 1_000_000
 COUNT_BITS = 21
 BLOCK = 1 << 14
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")

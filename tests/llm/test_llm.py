@@ -602,7 +602,7 @@ def test_edge_texts_crash_nothing(spark):
     leaks.leaks(df, ["rec_id"], "text", {1: "the " * 30, 2: "x"}).collect()
 
 
-@pytest.mark.parametrize("name", ["p1_found", "p2_found", "p3_found", "p3_matches", "p3_item_matches", "p3_cleaned", "p4_found", "p5_found", "p5_report", "p6_found", "p7_found", "p8_ids", "p9_shares", "p10_found"])
+@pytest.mark.parametrize("name", ["p1_found", "p2_found", "p3_found", "p3_matches", "p3_item_matches", "p3_cleaned", "p4_found", "p5_found", "p5_report", "p6_found", "p7_found", "p8_ids", "p9_shares", "p9_marginals", "p10_found"])
 def test_queries_run(spark, tiny, name):
     from corpusmill.llm.queries import QUERIES
 
