@@ -39,7 +39,7 @@ def bands(sig: Column, n_bands: int = BANDS, rows: int = BAND_ROWS) -> Column:
 
 def classes(sigs: DataFrame, key: str, sig: str) -> DataFrame:
     """``id``, ``head`` and ``keys``: each document, the first of its equal signatures and that class' band keys."""
-    rows = sigs.select(F.col(key).alias("id"), F.col(sig).alias("sig"))
+    rows = checkpointed(sigs.select(F.col(key).alias("id"), F.col(sig).alias("sig")))
     heads = rows.groupBy("sig").agg(F.min("id").alias("head"))
     return rows.join(heads, "sig").select("id", "head", bands(F.col("sig")).alias("keys"))
 
@@ -66,7 +66,9 @@ def greedy_in_groups(members: DataFrame) -> DataFrame:
     ``members`` has id and group. A round needs only each group's smallest kept and smallest
     undecided member, so a group of any size costs no more than its rows.
     """
-    of = checkpointed(members.select("id", "group").distinct())
+    every = members.select("id", "group").distinct()
+    shared = every.groupBy("group").agg((F.min("id") != F.max("id")).alias("several")).filter("several").select("group")
+    of = checkpointed(every.join(shared, "group").select("id", "group"))  # a group of one drops nothing
     nodes = checkpointed(of.select("id").distinct().withColumn("state", F.lit("open")))
     while True:
         seen = of.join(nodes, "id")
