@@ -2,9 +2,10 @@
 
 Every Arrow batch of training texts is a shard with its own suffix array over words: word
 numbers are packed into sort keys of four words, the positions are sorted by
-them, and every suffix of every test text is looked up by binary search. Where many items
-share a suffix of four words, it is compared deeper, by names of 8, 16 and 32 words, until
-few share it or the items really hold the same passage, so a common phrase pairs nothing.
+them, and every suffix of every test text is looked up by binary search. However many items
+share a suffix, all of them are counted: of each record and item, the words of the item that
+lie in any match are added up first, each suffix once, so a common phrase costs one sort and
+only items with enough such words get their places in the record.
 Matches that follow each other on a diagonal make the longest verbatim matches, which are
 given with their places; a record whose verbatim matches with an item lie close enough
 together is then aligned with it word by word, which bridges changed words, scanning
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -34,9 +35,8 @@ DEPTH = 4
 MIN_RUN = 25
 NEAR = 8
 MIN_SEEDED = 10
-#: Suffixes that more items share are compared deeper.
-HOT = 64
-DEEPER = (8, 16, 32)
+#: About so many pairs of a record's match and an item's suffix are held at once; more are worked off in portions.
+PAIRS = 1 << 20
 MAX_STEP = 20
 MIN_MATCHED = 0.75
 ITEM_BLOCK = 20_000
@@ -124,24 +124,10 @@ class Items:
         keys = np.stack([self.hi, self.lo], 1)
         unique, self.of = np.unique(keys, axis=0, return_inverse=True) if len(keys) else (keys, np.empty(0, np.int64))
         self.search_hi, self.search_lo = unique[:, 0].copy(), unique[:, 1].copy()
-        self.groups = [grouped(self.of, len(unique))]
-        size = {k: len(w) for k, w in self.words.items()}
-        small = np.array([size[k] < DEEPER[0] for k in self.item.tolist()], bool)
-        self.small = grouped(np.where(small, self.of, -1), len(unique))
-        # names of 8, 16 and 32 words: pairs of the names of their halves
-        self.pairs: list[np.ndarray] = []
-        name = np.full(len(ids) + DEEPER[-1], -1, np.int64)
-        name[np.flatnonzero(whole)] = self.of
-        where = np.flatnonzero(whole)
-        for depth in DEEPER:
-            second = name[where + depth // 2]
-            both = np.where((name[where] >= 0) & (second >= 0), (name[where] << 32) | second, -1)
-            keys = np.unique(both[both >= 0])
-            own = np.where(both >= 0, np.searchsorted(keys, both), -1)
-            self.pairs.append(keys)
-            self.groups.append(grouped(own, len(keys)))
-            name = np.full(len(ids) + DEEPER[-1], -1, np.int64)
-            name[where] = own
+        self.groups = grouped(self.of, len(unique))
+        least = {k: least_seeded(len(w)) for k, w in self.words.items()}
+        #: of each suffix, how many words of its item must lie in matches
+        self.least = np.array([least[k] for k in self.item.tolist()], np.int64)
         self.few: dict[int, dict[tuple[str, ...], list[int]]] = {}
         for k, words in self.words.items():
             if 0 < len(words) < DEPTH:
@@ -154,6 +140,9 @@ def near_word(a: str, b: str) -> bool:
         return True
     if abs(len(a) - len(b)) > 2 or max(len(a), len(b)) < 3:
         return False
+    # no more letters can match than the other word holds at all
+    if 2.0 * min(sum(map(b.__contains__, a)), sum(map(a.__contains__, b))) / (len(a) + len(b)) < 0.7:
+        return False
     return SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.7
 
 
@@ -202,41 +191,51 @@ def longest_run(item: list[str], window: list[str]) -> tuple[int, int]:
     return best_run
 
 
-def deepened(named: np.ndarray, where: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray]:
-    """(place in the shard, item suffix) of the matches at ``where``, of which ``named`` holds the four-word names, -1 elsewhere.
+def cuts(group: np.ndarray, weight: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of the sorted ``group`` that part no group and weigh at most ``most`` together, or are one group."""
+    edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]])) if len(group) else np.zeros(1, np.int64)
+    upto = np.concatenate([[0], np.cumsum(weight)])[edges]
+    at = 0
+    while at < len(edges) - 1:
+        to = max(at + 1, int(np.searchsorted(upto, upto[at] + most, "right")) - 1)
+        yield slice(int(edges[at]), int(edges[to]))
+        at = to
+
+
+def paired(row: np.ndarray, name: np.ndarray, where: np.ndarray, items: Items) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, place in the shard, item suffix) of all matches of each row and item that share enough words, in portions.
 
-    All suffixes of a name are taken while it has no more than HOT; else those that agree
-    in 8, 16 or 32 words, and whole items under 8.
+    No row and item is spread over two portions. An item is left out of a row only where its
+    words in all matches of the row together are fewer than ``least_seeded``.
     """
-    places, entries = [], []
-    name = named
-    for level in range(len(DEEPER) + 1):
-        own = name[where]
-        start = items.groups[level][1]
-        hot = (start[own + 1] - start[own] > HOT) if level < len(DEEPER) else np.zeros(len(where), bool)
-        at, entry = spread_out(items.groups[level], own[~hot])
-        places.append(where[~hot][at])
-        entries.append(entry)
-        if level == 0 and hot.any():
-            at, entry = spread_out(items.small, own[hot])
-            places.append(where[hot][at])
-            entries.append(entry)
-        where = where[hot]
-        if not len(where):
-            break
-        # the names of twice the depth, at every place that may be the second half of one
-        half, keys = DEEPER[level] // 2, items.pairs[level]
-        full = np.flatnonzero(name[: len(name) - half] >= 0)
-        full = full[name[full + half] >= 0]
-        both = (name[full] << 32) | name[full + half]
-        found = np.searchsorted(keys, both)
-        good = found < len(keys)
-        good[good] = keys[found[good]] == both[good]
-        deeper = np.full(len(name), -1, np.int64)
-        deeper[full[good]] = found[good]
-        name = deeper
-        where = where[name[where] >= 0]
-    return np.concatenate(places), np.concatenate(entries)
+    order = np.lexsort((where, name, row))
+    row, name, where = row[order], name[order], where[order]
+    # every name once a row, with its places there
+    fresh = np.ones(len(row), bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (name[1:] != name[:-1])
+    first = np.flatnonzero(fresh)
+    count = np.diff(np.append(first, len(row)))
+    once_row, once_name = row[first], name[first]
+    start = items.groups[1]
+    for part in cuts(once_row, start[once_name + 1] - start[once_name], PAIRS):
+        at, entry = spread_out(items.groups, once_name[part])
+        at += part.start
+        # suffixes are numbered by item and place
+        order = np.argsort(once_row[at] * len(items.of) + entry, kind="stable")
+        at, entry = at[order], entry[order]
+        r, item, place = once_row[at], items.item[entry], items.place[entry]
+        same = (r[1:] == r[:-1]) & (item[1:] == item[:-1])
+        words = np.append(np.where(same, np.minimum(place[1:] - place[:-1], DEPTH), DEPTH), DEPTH)
+        starts = np.flatnonzero(np.concatenate([[True], ~same]))
+        enough_words = np.add.reduceat(words, starts) >= items.least[entry[starts]]
+        size = np.diff(np.append(starts, len(at)))
+        keep = np.repeat(enough_words, size)
+        group = np.repeat(np.arange(len(starts)), size)[keep]
+        at, entry = at[keep], entry[keep]
+        for few in cuts(group, count[at], PAIRS):
+            n = count[at[few]]
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            yield np.repeat(once_row[at[few]], n), where[np.repeat(first[at[few]], n) + step], np.repeat(entry[few], n)
 
 
 def longest_match(diagonal: np.ndarray, place: np.ndarray) -> tuple[int, int]:
@@ -261,11 +260,12 @@ def least_seeded(size: int) -> int:
 Match = tuple[int, int, int, int]
 
 
-def search(texts: list[str | None], items: Items) -> list[tuple[int, int, int, int, int, int]]:
+def search(texts: list[str | None], items: Items, min_run: int = MIN_RUN) -> list[tuple[int, int, int, int, int, int]]:
     """(row, item, running words, matched words, words of the longest verbatim match, its place) of the rows of one shard that hold seeds of an item close together."""
     number = items.number.get
     rows = [words_of(t) if t else [] for t in texts]
     best: dict[tuple[int, int], Match] = {}
+    ranks: dict[tuple[int, int], tuple[bool, int, int]] = {}
     for size, phrases in items.few.items():
         heads = {p[0] for p in phrases}
         for r, words in enumerate(rows):
@@ -293,34 +293,32 @@ def search(texts: list[str | None], items: Items) -> list[tuple[int, int, int, i
         n = (last - first)[found]
         own = np.repeat(found, n)
         where = at[np.repeat(first[found], n) + np.arange(len(own)) - np.repeat(np.concatenate([[0], np.cumsum(n)[:-1]]), n)]
-        named = np.full(len(ids) + DEEPER[-1], -1, np.int64)
-        named[where] = own
-        where, entry = deepened(named, np.sort(where), items)
-        item, place = items.item[entry], items.place[entry]
         row = np.searchsorted(begin, where, "right") - 1
-        diagonal = where - begin[row] - place
-        order = np.lexsort((place, diagonal, item, row))
-        row, item, diagonal, place = row[order], item[order], diagonal[order], place[order]
-        # clusters: same row and item, diagonals that follow each other closely
-        fresh = np.ones(len(row), bool)
-        fresh[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > MAX_STEP)
-        starts = np.flatnonzero(fresh)
-        ends = np.append(starts[1:], len(row))
-        for s, e in zip(starts.tolist(), ends.tolist()):
-            words = items.words[int(item[s])]
-            least = least_seeded(len(words))
-            if (e - s) * DEPTH < least:
-                continue
-            seeded = {p + k for p in place[s:e].tolist() for k in range(DEPTH)}
-            if len(seeded) < least:
-                continue
-            r = int(row[s])
-            low = max(0, int(diagonal[s:e].min()) - NEAR)
-            high = int(diagonal[s:e].max()) + len(words) + NEAR + 40
-            run = longest_run(words, rows[r][low:high])
-            key = (r, int(item[s]))
-            if run > best.get(key, (0, 0))[:2]:
-                best[key] = (*run, *longest_match(diagonal[s:e], place[s:e]))
+        for row, where, entry in paired(row, own, where, items):
+            item, place = items.item[entry], items.place[entry]
+            diagonal = where - begin[row] - place
+            order = np.lexsort((place, diagonal, item, row))
+            row, item, diagonal, place, entry = row[order], item[order], diagonal[order], place[order], entry[order]
+            # clusters: same row and item, diagonals that follow each other closely
+            fresh = np.ones(len(row), bool)
+            fresh[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > MAX_STEP)
+            starts = np.flatnonzero(fresh)
+            ends = np.append(starts[1:], len(row))
+            some = (ends - starts) * DEPTH >= items.least[entry[starts]]
+            for s, e in zip(starts[some].tolist(), ends[some].tolist()):
+                seeded = {p + k for p in place[s:e].tolist() for k in range(DEPTH)}
+                if len(seeded) < items.least[entry[s]]:
+                    continue
+                r, words = int(row[s]), items.words[int(item[s])]
+                low = max(0, int(diagonal[s:e].min()) - NEAR)
+                high = int(diagonal[s:e].max()) + len(words) + NEAR + 40
+                run = longest_run(words, rows[r][low:high])
+                key = (r, int(item[s]))
+                # one that gives the item away stands before a longer one that doesn't
+                rank = (enough(*run, len(words), min_run), *run)
+                if rank > ranks.get(key, (False, 0, 0)):
+                    ranks[key] = rank
+                    best[key] = (*run, *longest_match(diagonal[s:e], place[s:e]))
     return [(r, k, *m) for (r, k), m in best.items()]
 
 
@@ -358,7 +356,7 @@ def leaks(df: DataFrame, keys: list[str], text: str, items: dict[int, str], min_
                 texts = batch.column(len(keys)).to_pylist()
                 found = []
                 for a in range(0, len(texts), 1000):
-                    found += [(a + f[0], *f[1:]) for f in search(texts[a : a + 1000], index)]
+                    found += [(a + f[0], *f[1:]) for f in search(texts[a : a + 1000], index, min_run)]
                 found = [f for f in found if enough(f[2], f[3], len(index.words[f[1]]), min_run)]
                 pick = pa.array([f[0] for f in found], pa.int32())
                 return {k: batch.column(i).take(pick) for i, k in enumerate(keys)} | {c: [f[i] for f in found] for i, c in enumerate(("head", "run", "matched", "longest", "word_at"), 1)}

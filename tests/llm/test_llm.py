@@ -246,6 +246,69 @@ def test_common_phrases_pair_nothing_and_longest_matches_are_exact(spark):
     assert longest == len(index.words[7]) and words[at : at + longest] == index.words[7]
 
 
+def test_passages_that_many_items_share_give_all_of_them_away():
+    rng = random.Random(41)
+    frame = [f"frame{i}" for i in range(28)]
+    own = lambda k, n: [f"own{k}x{i}" for i in range(n)]
+    items = {k: " ".join(frame + own(k, 12)) for k in range(80)}
+    # a template with a word of its own after every six, and short prompts with one in the middle
+    gaps = [f"gap{i}" for i in range(36)]
+    items |= {100 + k: " ".join(w for i in range(0, 36, 6) for w in [*gaps[i : i + 6], f"own{k}y{i}"]) for k in range(80)}
+    items |= {200 + k: " ".join(["s1 s2 s3 s4 s5 s6", f"own{k}z", "s7 s8 s9 s10 s11"]) for k in range(80)}
+    texts = [
+        f"{prose(rng, 1)} {' '.join(frame)} {prose(rng, 1)}",
+        f"{prose(rng, 1)} {' '.join(w for i in range(0, 36, 6) for w in [*gaps[i : i + 6], 'other'])} {prose(rng, 1)}",
+        "he said s1 s2 s3 s4 s5 s6 other s7 s8 s9 s10 s11 again",
+        f"{prose(rng, 1)} {' '.join(frame[:9])} {' '.join(gaps[:6])} {prose(rng, 1)}",
+    ]
+    index = leaks.Items(items)
+
+    def hits():
+        return sorted(m for m in leaks.search(texts, index) if leaks.enough(m[2], m[3], len(index.words[m[1]]), leaks.MIN_RUN))
+
+    found = hits()
+    assert [m[:2] for m in found] == [(0, k) for k in range(80)] + [(1, 100 + k) for k in range(80)] + [(2, 200 + k) for k in range(80)]
+    assert {m[4] for m in found if m[0] == 0} == {28} and {m[5] for m in found if m[0] == 0} == {len(leaks.words_of(texts[0])) - len(leaks.words_of(texts[0].split(frame[0])[1])) - 1}
+    # portions change nothing
+    keep, leaks.PAIRS = leaks.PAIRS, 50
+    try:
+        assert hits() == found
+    finally:
+        leaks.PAIRS = keep
+
+
+def test_a_longer_run_that_gives_nothing_away_hides_no_other():
+    words = [f"w{i}" for i in range(60)]
+    loose = [w if i < 10 or i % 3 else "zzzzz" for i, w in enumerate(words)]
+    far = " ".join(f"far{i}" for i in range(200))
+    index = leaks.Items({1: " ".join(words)})
+    for text in (f"{' '.join(loose)} {far} {' '.join(words[32:58])}", f"{' '.join(words[32:58])} {far} {' '.join(loose)}"):
+        assert [leaks.enough(m[2], m[3], 60, leaks.MIN_RUN) for m in leaks.search([text], index)] == [True]
+
+
+def test_pairing_equals_counting_every_pair():
+    import numpy as np
+
+    rng = random.Random(47)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randint(0, 60))) for _ in range(12)]
+    items = {k: " ".join(rng.choice("abcd") for _ in range(rng.randint(4, 30))) for k in range(90)}
+    index = leaks.Items(items)
+    n = len(index.search_hi)
+    row, name, where = (np.array([rng.randrange(m) for _ in range(400)]) for m in (12, n, 10_000))
+    every = {}
+    for r, g, p in {*zip(row.tolist(), name.tolist(), where.tolist())}:
+        for e in np.flatnonzero(index.of == g).tolist():
+            every.setdefault((r, int(index.item[e])), set()).add((p, e))
+    want = {(r, *m) for (r, k), ms in every.items() if len({int(index.place[e]) + d for _, e in ms for d in range(4)}) >= leaks.least_seeded(len(index.words[k])) for m in ms}
+    keep = leaks.PAIRS
+    try:
+        for leaks.PAIRS in (1, 300, keep):
+            got = [t for part in leaks.paired(row, name, where, index) for t in zip(*(x.tolist() for x in part))]
+            assert set(got) == want
+    finally:
+        leaks.PAIRS = keep
+
+
 def test_one_changed_word_in_a_short_prompt():
     words = [f"w{c}" for c in "abcdefghijklmn"]
     index = leaks.Items({1: " ".join(words), 2: "the quiet mill closed in early spring"})
