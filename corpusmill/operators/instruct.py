@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
-from pyspark.sql.window import Window
 
 from corpusmill.functions import text as T
-from corpusmill.operators.dedup import greedy
-from corpusmill.session import checkpointed
+from corpusmill.operators.similar import GRAM, similar_pairs, too_similar  # noqa: F401
 
-BUCKETS = 4096
-SHARED_DOT = 0.04
 PAIRS = StructType([StructField("pairs", ArrayType(StructType([StructField("question", StringType()), StructField("answer", StringType())])))])
 SCORES = StructType([StructField("scores", ArrayType(StructType([StructField("i", IntegerType()), StructField("score", IntegerType())])))])
 
@@ -48,41 +44,10 @@ def gram_vector(text: Column) -> Column:
     return T.let(t, of)
 
 
-def similar_pairs(df: DataFrame, key: str, text: str, cosine: float) -> DataFrame:
-    """``a`` < ``b`` of which the texts' gram vectors have a cosine above ``cosine``.
-
-    Exact: buckets are ordered from rare to common, and a vector's prefix reaches to where
-    what is left of it is shorter than ``cosine - SHARED_DOT``. Up to the end of the
-    shorter of two prefixes all common buckets are in both, and what follows adds no more
-    than that rest, so the prefixes of two vectors as similar must have a dot product of
-    SHARED_DOT. Only pairs that have it are compared in full. The order is a table of
-    BUCKETS rows.
-    """
-    rows = df.select(F.col(key).alias("id"), F.explode(gram_vector(F.col(text))).alias("k")).groupBy("id", "k").agg(F.count("*").cast("double").alias("n"))
-    own = Window.partitionBy("id")
-    vec = checkpointed(rows.withColumn("w", F.col("n") / F.sqrt(F.sum(F.col("n") * F.col("n")).over(own))).select("id", "k", "w"))
-    often = vec.groupBy("k").agg(F.count("*").alias("df"))
-    before = own.orderBy("df", "k").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = vec.join(F.broadcast(often), "k").withColumn("rest", 1 - F.coalesce(F.sum(F.col("w") * F.col("w")).over(before), F.lit(0.0)))
-    first = checkpointed(ranked.filter(F.col("rest") >= max(0.0, cosine - SHARED_DOT) ** 2 - 1e-9).select("id", "k", "w"))
-    met = first.select("k", F.col("id").alias("a"), F.col("w").alias("wa")).join(first.select("k", F.col("id").alias("b"), F.col("w").alias("wb")), "k").filter("a < b")
-    met = met.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("part")).filter(F.col("part") >= min(cosine, SHARED_DOT) - 1e-9).select("a", "b")
-    dots = met.join(vec.select(F.col("id").alias("a"), "k", F.col("w").alias("wa")), "a").join(vec.select(F.col("id").alias("b"), "k", F.col("w").alias("wb")), ["b", "k"])
-    return dots.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cos")).filter(F.col("cos") > cosine).select("a", "b")
-
-
 def drop_similar(df: DataFrame, key: str, text: str, cosine: float = 0.95) -> DataFrame:
-    """``df`` without the rows that are too similar to an earlier row that stays.
-
-    Rows of equal text are linked through the first of them only.
-    """
-    keyed = df.withColumn("_h", F.md5(T.normalized(F.col(text))))
-    heads = keyed.groupBy("_h").agg(F.min(key).alias("_head"))
-    first = keyed.join(heads, "_h").filter(F.col(key) == F.col("_head")).select(key, text)
-    gone = greedy(similar_pairs(first, key, text, cosine)).select(F.col("id").alias("_head"), F.lit(1).alias("_gone"))
-    grams = F.length(T.normalized(F.col(text))) >= 4
-    out = keyed.join(heads, "_h").join(gone, "_head", "left")
-    return out.filter(F.col("_gone").isNull() & ((F.col(key) == F.col("_head")) | ~grams)).select(*df.columns)
+    """``df`` without the rows that are too similar to an earlier row that stays; a row without a key stays only if its text has no grams."""
+    gone = too_similar(df, key, text, cosine).select(F.col("id").alias(key))
+    return df.filter(F.col(key).isNotNull() | (F.length(T.normalized(F.col(text))) < GRAM)).join(gone, key, "left_anti").select(*df.columns)
 
 
 def masked(prompt: Column, answer: Column, size: int, pad: str = "<pad>") -> tuple[Column, Column]:

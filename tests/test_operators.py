@@ -254,6 +254,75 @@ def test_similar_pairs_against_brute_force(spark):
     assert {(r.a, r.b) for r in instruct.similar_pairs(df, "k", "t", 0.7).collect()} == want
 
 
+def grams_of(t):
+    import hashlib
+
+    t = " ".join(t.lower().split())
+    return Counter(hashlib.md5(t[i : i + 4].encode()).hexdigest()[:3] for i in range(len(t) - 3))
+
+
+def stays(rows, cosine):
+    """Keys that stay in order; products are added one by one, as SQL adds them."""
+    kept = []
+    for key, t in rows:
+        v = grams_of(t)
+        length = sum(n * n for n in v.values()) ** 0.5
+        own = {k: n / length for k, n in v.items()}
+        for _, other in kept:
+            total = 0.0
+            for k in sorted(own.keys() & other.keys()):
+                total += own[k] * other[k]
+            if total > cosine:
+                break
+        else:
+            kept.append((key, own))
+    return [k for k, _ in kept]
+
+
+@pytest.mark.parametrize("block", [7, 1000])
+def test_drop_similar_against_brute_force(spark, monkeypatch, block):
+    from corpusmill.operators import similar
+
+    monkeypatch.setattr(similar, "BLOCK_ROWS", block)
+    monkeypatch.setattr(similar, "TILE", (5, 3))
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(60)]
+    texts = []
+    for _ in range(12):  # chains: each differs by a word or two from the one before
+        t = [rng.choice(words) for _ in range(30)]
+        for _ in range(6):
+            t = [*t]
+            t[rng.randrange(30)] = rng.choice(words)
+            texts.append(" ".join(t))
+    texts += ["ab ab ab " * 200, "ab ab ab " * 150 + "tail", "x" * 300, "x" * 299 + "y", "abc", "abc", "", "\u6cd5\u5ead\u306f\u5951\u7d04", "\U0001f600" * 5, texts[3], texts[3].upper()]
+    texts += ["abcdefghijklmnopqrstuvw", "abcdefghijklmnopqrstuvz"]  # 19 of 20 grams: as near 0.95 as can be
+    rng.shuffle(texts)
+    rows = [(k * 7 % 1009, t) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "k bigint, t string")
+    got = sorted(r.k for r in instruct.drop_similar(df, "k", "t", 0.95).collect())
+    assert got == sorted(stays(sorted(rows), 0.95)) and len(got) < len(rows)
+    empty = instruct.drop_similar(df.filter("k < 0"), "k", "t", 0.95)
+    assert empty.count() == 0 and empty.columns == ["k", "t"]
+
+
+def test_drop_similar_stores_no_pairs(spark):
+    """Texts that share most grams, all similar or all not, are shuffled by their size, not by that of their pairs."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(80)]
+    near = "the tenant of the mill paid the rent that the lease of the old river house names each month "
+    rows = [(k, near * 2 + str(k)) for k in range(1500)] + [(k, " ".join(rng.choice(words) for _ in range(30))) for k in range(1500, 3000)]
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def written():
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
+
+    before = written()
+    kept = instruct.drop_similar(spark.createDataFrame(rows, "k bigint, t string").repartition(4), "k", "t", 0.95).count()
+    assert 1 <= kept <= 1501
+    assert sum(n for k, n in written().items() if k not in before) < 4 * sum(len(t) for _, t in rows)
+
+
 def test_formats(spark, tmp_path):
     from corpusmill.sources import formats
 
